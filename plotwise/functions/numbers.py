@@ -92,6 +92,23 @@ def default_bedrooms(bedrooms: Column, property_type: Column) -> Column:
     return F.coalesce(bedrooms, *rules)
 
 
+def swapped(price: Column, area: Column) -> Column:
+    """Whether price and area look exchanged, signs aside; never NULL."""
+    return F.coalesce((F.abs(price) < fixed.SWAP_PRICE_BELOW) & (F.abs(area) > fixed.SWAP_AREA_ABOVE), F.lit(False))
+
+
+def repaired(price: Column, area: Column) -> tuple[Column, Column]:
+    """Price and area without signs, exchanged back; both from the same input row."""
+    swap = swapped(price, area)
+    return (F.when(swap, F.abs(area)).otherwise(F.abs(price)),
+            F.when(swap, F.abs(price)).otherwise(F.abs(area)))
+
+
+def looks_thb(source: Column, price: Column) -> Column:
+    """Amount of the USD feed too high to be in USD; never NULL."""
+    return F.coalesce((source == fixed.USD_SOURCE) & (price > fixed.USD_LOOKS_THB), F.lit(False))
+
+
 def is_test_price(raw: Column, amount: Column, is_text: Column) -> Column:
     """0 / 1 placeholders; a text price only counts when it is all digits."""
     counted = ~is_text | strip(raw).rlike("^[0-9]+$")
