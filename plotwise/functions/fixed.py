@@ -79,7 +79,7 @@ AGENT_WORDS = ["รับฝากขาย", "รับฝากเช่า",
 URGENT_MARK = "ด่วน!!!"
 PHONE_PATTERN = r"(?U)0\d{1,2}[-\s]?\d{3}[-\s]?\d{4}"
 MARKUP_PATTERN = r"&amp;|<br>|\\n\\t"
-EMOJI_PATTERN = "[🏠🔥⭐\u0e00]"
+EMOJI = "🏠🔥⭐\u0e00"
 
 # Units and money.
 MILLION_WORD, MILLION = "ล้าน", 1_000_000.0

@@ -8,16 +8,16 @@ from pyspark.sql import functions as F
 from plotwise.functions import fixed
 from plotwise.functions.text import contains_any, lookup, strip
 
-_NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+_NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 
 
 def to_number(c: Column) -> Column:
     """Double, or NULL for anything that is not a plain number.
 
-    The pattern guard matters: a bare cast would read ``5d`` as 5.0.
+    The pattern guard matters: a bare cast would read ``5d`` as 5.0. The cast
+    itself ignores the white space the pattern lets through.
     """
-    bare = strip(c)
-    return F.when(bare.rlike(_NUMBER), bare.try_cast("double"))
+    return F.when(c.rlike(_NUMBER), c.try_cast("double"))
 
 
 def number_text(v: Column) -> Column:
@@ -26,34 +26,39 @@ def number_text(v: Column) -> Column:
     return F.when(whole, F.concat(v.cast("bigint").cast("string"), F.lit(".0"))).otherwise(v.cast("string"))
 
 
-def parse_price(raw: Column, source: Column, unit: Column) -> Column:
+def parse_price(raw: Column, source: Column, unit: Column, plain: Column | None = None) -> Column:
     """Price text in THB.
 
     Millions and hundred-thousands words win over the plain reading; plain
     amounts of the USD feed are converted unless flagged as THB already.
+    ``plain`` may hand in ``to_number(raw)`` where that is a column already:
+    a text that is a number all through holds no word, so it is tried first.
     """
+    in_usd = F.coalesce((source == fixed.USD_SOURCE) & (unit != fixed.SPLIT_UNIT_THB),
+                        source == fixed.USD_SOURCE, F.lit(False))
+    rate = F.when(in_usd, F.lit(fixed.USD_RATE)).otherwise(F.lit(1.0))
+    if plain is None:
+        plain = to_number(raw)
     digits = F.translate(strip(raw), fixed.THAI_DIGITS, "0123456789")
 
     def amount_before(word: str) -> Column:
         return F.regexp_extract(digits, rf"(?U)([\d,.]+)\s*{word}", 1)
 
     def written(word: str) -> Column:
-        # The cheap test first: most prices hold no word at all.
-        return digits.contains(word) & (amount_before(word) != "")
+        return raw.contains(word) & (amount_before(word) != "")
 
     def worded(word: str, factor: float) -> Column:
         return to_number(F.replace(amount_before(word), F.lit(","), F.lit(""))) * F.lit(factor)
 
-    plain = digits
+    bare = digits
     for junk in (",", fixed.BAHT_WORD, " "):
-        plain = F.replace(plain, F.lit(junk), F.lit(""))
-    amount = to_number(plain)
-    in_usd = F.coalesce(source == fixed.USD_SOURCE, F.lit(False)) & ~F.coalesce(
-        unit == fixed.SPLIT_UNIT_THB, F.lit(False))
-    baht = F.when(in_usd, amount * fixed.USD_RATE).otherwise(amount)
-    return (F.when(written(fixed.MILLION_WORD), worded(fixed.MILLION_WORD, fixed.MILLION))
+        bare = F.replace(bare, F.lit(junk), F.lit(""))
+    amount = to_number(bare)
+    return (F.when(plain > 0, plain * rate)
+            .when(plain.isNotNull(), F.lit(None).cast("double"))
+            .when(written(fixed.MILLION_WORD), worded(fixed.MILLION_WORD, fixed.MILLION))
             .when(written(fixed.LAKH_WORD), worded(fixed.LAKH_WORD, fixed.LAKH))
-            .when(amount > 0, baht))
+            .when(amount > 0, amount * rate))
 
 
 def cap_price(price: Column, cap: float = fixed.PRICE_CAP) -> Column:

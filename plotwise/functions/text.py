@@ -16,15 +16,20 @@ def strip(c: Column) -> Column:
     return F.btrim(c, F.lit(fixed.WHITESPACE))
 
 
-def null_tokens(c: Column) -> Column:
-    """NULL for the texts a CSV reader treats as missing."""
-    return F.when(~c.isin(fixed.NULL_TOKENS), c)
+def _literal(value: object) -> str:
+    return "'" + value.replace("'", "''") + "'" if isinstance(value, str) else f"{value!r}D"
 
 
-def lookup(key: Column, mapping: Mapping[str, object]) -> Column:
+def null_tokens(column: str) -> Column:
+    """The named column with NULL for the texts a CSV reader treats as missing."""
+    tokens = ", ".join(_literal(t) for t in fixed.NULL_TOKENS)
+    return F.expr(f"CASE WHEN `{column}` NOT IN ({tokens}) THEN `{column}` END")
+
+
+def lookup(key: Column, mapping: Mapping[str, str | float]) -> Column:
     """Value of a small dictionary, NULL when the key is absent."""
-    pairs = [F.lit(x) for kv in mapping.items() for x in kv]
-    return F.create_map(*pairs)[key]
+    pairs = ", ".join(_literal(x) for kv in mapping.items() for x in kv)
+    return F.expr(f"map({pairs})")[key]
 
 
 def contains_any(c: Column, words: Sequence[str]) -> Column:
@@ -40,11 +45,14 @@ def first_keyword(c: Column, keywords: Sequence[str]) -> Column:
 
 def clean_title(c: Column) -> Column:
     """Drop markup leftovers and the emoji used as eye-catchers."""
-    return F.regexp_replace(F.regexp_replace(c, fixed.MARKUP_PATTERN, ""), fixed.EMOJI_PATTERN, "")
+    # Plain substring tests decide whether the expressions have to run at all.
+    marked = contains_any(c, ["&amp;", "<br>", "\\n\\t", *fixed.EMOJI])
+    cleaned = F.regexp_replace(F.regexp_replace(c, fixed.MARKUP_PATTERN, ""), f"[{fixed.EMOJI}]", "")
+    return F.when(marked, cleaned).otherwise(c)
 
 
 def has_phone(c: Column) -> Column:
-    return F.coalesce(c.rlike(fixed.PHONE_PATTERN), F.lit(False))
+    return F.coalesce(c.contains("0") & c.rlike(fixed.PHONE_PATTERN), F.lit(False))
 
 
 def normalise_location(c: Column, aliases: Mapping[str, str] = fixed.LOCATION_ALIASES) -> Column:
@@ -63,6 +71,12 @@ def normalise_type(c: Column, aliases: Mapping[str, str] = fixed.TYPE_ALIASES) -
     return F.coalesce(lookup(F.lower(strip(c)), aliases), c)
 
 
+def is_sentinel(price: Column) -> Column:
+    """Price texts that stand for no price; never NULL."""
+    return contains_any(price, fixed.SENTINEL_PRICES) & F.coalesce(
+        strip(price).isin(fixed.SENTINEL_PRICES), F.lit(False))
+
+
 def supported_type(c: Column) -> Column:
     tokens = [t for words, _ in fixed.TYPE_TOKENS for t in words]
     return contains_any(F.lower(c), tokens)
@@ -70,7 +84,7 @@ def supported_type(c: Column) -> Column:
 
 def has_text(c: Column) -> Column:
     """1 when the text holds something besides white space, else 0."""
-    return F.when(F.length(strip(c)) > 0, F.lit(1)).otherwise(F.lit(0))
+    return F.when(c.rlike(f"[^{fixed.WHITESPACE}]"), F.lit(1)).otherwise(F.lit(0))
 
 
 def matches(c: Column, search: str, literal: bool = False) -> Column:

@@ -19,11 +19,24 @@ DEFAULTS = {
 }
 
 
+# The projections of the job are wide. Above this size HotSpot leaves a generated
+# method uncompiled, so Spark should split the expressions instead of fusing them.
+METHOD_LIMIT = ("spark.sql.codegen.hugeMethodLimit", "8000")
+
+
+def tune(spark: SparkSession) -> SparkSession:
+    """Apply the one runtime setting the wide projections depend on, unless it was chosen already."""
+    key, value = METHOD_LIMIT
+    if spark.conf.get(key, None) in (None, "65535"):
+        spark.conf.set(key, value)
+    return spark
+
+
 def get_session(app: str = "plotwise", **settings: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     for key, value in {**DEFAULTS, **settings}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return tune(builder.getOrCreate())
 
 
 def shared_folder(spark: SparkSession) -> str:

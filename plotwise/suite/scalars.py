@@ -40,7 +40,7 @@ def drop_missing_sentinel(spark, d):
     price, area = F.col("price_raw"), F.col("area_raw")
     rows = raw(spark, d, "orders", RAW_PRICED).filter(filters.keep_unless(price.isNull() & area.isNull()))
     return (rows.withColumn("price_imputed", price.isNull())
-            .filter(filters.keep_unless(text.strip(price).isin(fixed.SENTINEL_PRICES))))
+            .filter(~text.is_sentinel(price)))
 
 
 RAW_ROOMS = {
