@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plotwise.functions.dates import month_label, parse_date
@@ -35,8 +35,8 @@ def value_counts(df: DataFrame, by: str | Sequence[str], keep_null: bool = False
 
 
 def with_share(counts: DataFrame, count: str = "count", share: str = "share_pct") -> DataFrame:
-    """Percent of the total; only for tables that are already grouped."""
-    total = F.sum(count).over(Window.partitionBy(F.lit(0)))
+    """Percent of the total of a table that is already grouped."""
+    total = counts.agg(F.sum(count)).scalar()
     return counts.withColumn(share, F.round(F.col(count) * 100.0 / total, 1))
 
 

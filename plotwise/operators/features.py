@@ -41,11 +41,14 @@ def with_split(df: DataFrame, key: str = "id", train_slots: int = 8) -> DataFram
 
 
 def feature_stages() -> list:
-    """Alphabetical one-hot of every level; a level unseen in training becomes all zeros."""
+    """Alphabetical one-hot of every level; a level unseen in training becomes all zeros.
+
+    The indexer puts unseen levels last, and the encoder drops the last one.
+    """
     indexers = StringIndexer(inputCols=CATEGORICAL, outputCols=[f"{c}_index" for c in CATEGORICAL],
                              handleInvalid="keep", stringOrderType="alphabetAsc")
     encoder = OneHotEncoder(inputCols=indexers.getOutputCols(), outputCols=[f"{c}_vec" for c in CATEGORICAL],
-                            dropLast=True, handleInvalid="keep")
+                            dropLast=True)
     assembler = VectorAssembler(inputCols=[*NUMERIC, *encoder.getOutputCols()], outputCol="features")
     return [indexers, encoder, assembler]
 

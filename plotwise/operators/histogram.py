@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from plotwise.functions.display import bin_label
 from plotwise.operators.filters import below_quantile
+from plotwise.operators.sizes import small_or_none
 
 
 def histogram(df: DataFrame, value: str, bins: int = 20, cap_quantile: float | None = 0.95) -> DataFrame:
@@ -21,8 +22,9 @@ def histogram(df: DataFrame, value: str, bins: int = 20, cap_quantile: float | N
     lo, hi = F.min("_v"), F.max("_v")
     flat = lo == hi
     low, high = F.when(flat, lo - 0.5).otherwise(lo), F.when(flat, hi + 0.5).otherwise(hi)
-    edges = rows.agg(F.struct(low.alias("low"), ((high - low) / bins).alias("width")).alias("e")).scalar()
-    low, width = edges["low"], edges["width"]
+    # One row, fetched so that the passes below read a constant instead of repeating the aggregate.
+    edges = small_or_none(rows.agg(low.alias("low"), ((high - low) / bins).alias("width")))
+    low, width = edges.select("low").scalar(), edges.select("width").scalar()
     at = F.least(F.floor((F.col("_v") - low) / width), F.lit(bins - 1)).cast("int")
     counts = rows.groupBy(at.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
 

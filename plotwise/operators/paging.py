@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plotwise.functions import display
+from plotwise.session import staged
 
 DISPLAY_COLUMNS = ["id", "title", "property_type", "location", "zone", "price_thb", "area_sqm",
                    "price_per_sqm", "bedrooms", "bathrooms", "floor", "source"]
@@ -21,12 +22,39 @@ def sort_keys(df: DataFrame, by: str, price: str = "price_thb", tie: str = "id")
     return [key, F.col(tie)]
 
 
+# Beyond this position a page is not cut from a per-task heap any more.
+DEEP = 100_000
+
+
 def page(df: DataFrame, page: int = 1, per_page: int = 20, sort_by: str = "price_thb",
-         columns: Sequence[str] | None = None, price: str = "price_thb", tie: str = "id") -> DataFrame:
-    """One page of a sorted table: each task keeps only the rows up to the page's end."""
+         columns: Sequence[str] | None = None, price: str = "price_thb", tie: str = "id",
+         deep: int = DEEP) -> DataFrame:
+    """One page of a sorted table; each task keeps only the rows up to the page's end."""
     wanted = [c for c in (columns or DISPLAY_COLUMNS) if c in df.columns]
-    ordered = df.orderBy(*sort_keys(df, sort_by, price, tie))
-    return ordered.offset((page - 1) * per_page).limit(per_page).select(*wanted)
+    keys = sort_keys(df, sort_by, price, tie)
+    offset = (page - 1) * per_page
+    if offset + per_page > deep:
+        df, offset = _slice_around(df, keys, offset, per_page)
+    return df.orderBy(*keys).offset(offset).limit(per_page).select(*wanted)
+
+
+def _slice_around(df: DataFrame, keys: Sequence[Column], offset: int, n: int) -> tuple[DataFrame, int]:
+    """The sorted slices that hold rows ``offset .. offset + n``, and the offset inside them.
+
+    For pages deep in a large table: rows are range-partitioned once by the sort
+    keys (the unique tie-break splits even a single hot value) and written with
+    their slice number; only the one or two slices around the page are sorted.
+    """
+    sliced = staged(df.repartitionByRange(*keys).withColumn("_slice", F.spark_partition_id()), "slices")
+    sizes = sliced.groupBy("_slice").agg(F.count(F.lit(1)).alias("_n"))
+    running = Window.partitionBy(F.lit(0)).orderBy("_slice").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = sizes.withColumn("_before", F.sum("_n").over(running) - F.col("_n"))  # one row per slice
+    around = before.filter((F.col("_before") < offset + n) & (F.col("_before") + F.col("_n") > offset))
+    around = [(r["_slice"], r["_before"]) for r in around.select("_slice", "_before").toLocalIterator()]
+    if not around:
+        return df.limit(0), 0
+    return (sliced.filter(F.col("_slice").isin([s for s, _ in around])).drop("_slice"),
+            offset - min(b for _, b in around))
 
 
 def page_info(df: DataFrame, page: int = 1, per_page: int = 20) -> DataFrame:

@@ -203,10 +203,9 @@ RAW_PLACES = {
            location AS district, property_type, r_name AS region
     FROM named LEFT JOIN nation ON nation = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey""")
 def normalise_zone(spark, d):
-    location = text.normalise_location(F.col("place"))
-    rows = raw(spark, d, "customer", RAW_PLACES).select(
-        "id", "nation", location.alias("location"), text.zone_of(location).alias("zone"), location.alias("district"),
-        text.normalise_type(F.col("kind")).alias("property_type"))
+    rows = raw(spark, d, "customer", RAW_PLACES).withColumns({
+        "location": text.normalise_location(F.col("place")), "property_type": text.normalise_type(F.col("kind"))})
+    rows = rows.withColumns({"zone": text.zone_of(F.col("location")), "district": F.col("location")})
     # No hint: the planner broadcasts the two dimensions by their known file size.
     nations = table(spark, d, "nation").join(table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"), "left")
     return (rows.join(nations, F.col("nation") == F.col("n_nationkey"), "left")

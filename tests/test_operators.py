@@ -132,6 +132,9 @@ def test_pages(listings):
     assert [r.id for r in last] == ["L00", "L07"]            # missing price last
     assert [r.id for r in paging.page(listings, 1, 2, sort_by="area_sqm").collect()] == ["L00", "L01"]
     assert [r.id for r in paging.page(listings, 1, 2, sort_by="nope").collect()] == ["L00", "L01"]
+    for n in range(1, 10):
+        shallow, deep = (paging.page(listings, n, 4, deep=x).collect() for x in (paging.DEEP, 0))
+        assert shallow == deep
     info = paging.page_info(listings, 2, 20).first()
     assert (info.total, info.page, info.pages) == (30, 2, 2)
     assert paging.page_info(listings.limit(0)).first().pages == 1
