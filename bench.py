@@ -5,10 +5,8 @@
 
 from __future__ import annotations
 
-import contextlib
 import json
 import os
-import shutil
 import sys
 import tempfile
 import time
@@ -75,8 +73,6 @@ def main() -> None:
             seconds[name] = best
     finally:
         spark.stop()
-        with contextlib.suppress(OSError):
-            shutil.rmtree(scratch)
     print(json.dumps({"metric": "total_seconds", "value": round(sum(seconds.values()), 3), "unit": "sec",
                       "queries": {n: round(s, 3) for n, s in seconds.items()},
                       "sf": os.path.basename(folder.rstrip("/")), "feed_rows": rows,

@@ -27,8 +27,9 @@ def comparison(evaluated: DataFrame) -> DataFrame:
 
 
 def best_model(evaluated: DataFrame) -> DataFrame:
-    """One row: highest R2, the earlier model on a tie."""
-    pick = F.max_by(F.struct("model", "R2"), F.struct("R2", -F.col("rank")))
+    """One row: highest R2, the earlier model on a tie; an undefined R2 ranks last."""
+    score = F.coalesce("R2", F.lit(float("-inf")))
+    pick = F.max_by(F.struct("model", "R2"), F.struct(score, -F.col("rank")))
     return evaluated.agg(pick.alias("b")).select(F.col("b.model").alias("model"), F.col("b.R2").alias("R2"))
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from plotwise.functions import display, fixed, numbers
 from plotwise.operators import features, metrics
+from plotwise.session import ensure_checkpoints
 
 LINEAR, FOREST, BOOSTING = "Linear Regression", "Random Forest", "Gradient Boosting"
 
@@ -57,6 +58,7 @@ def train_and_evaluate(table: DataFrame, settings: ModelSettings = ModelSettings
     ``table`` is a training table (``features.training_table``). Its vectors are
     kept in memory with spilling, since every boosting round reads them.
     """
+    ensure_checkpoints(table.sparkSession)
     feature_model = features.fit_features(table)
     vectors = feature_model.transform(features.with_split(table, key)).select(
         key, "features", features.TARGET, "is_train").persist(StorageLevel.MEMORY_AND_DISK)

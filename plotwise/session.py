@@ -54,6 +54,12 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def ensure_checkpoints(spark: SparkSession) -> None:
+    """Let iterative training cut its lineage in the shared folder."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
+
+
 def staged(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write a table once and read it back.
 
