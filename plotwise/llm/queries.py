@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from plotwise.llm import idfile, packing
+from plotwise.llm import idfile, mixing, packing, topk
 from plotwise.llm.common import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,7 +31,36 @@ def op1_packing(spark: SparkSession, folder: str) -> DataFrame:
     return placed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "sequence_tokens", "row_id")
 
 
+@query
+def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """Words that a mix of all sources takes from each document."""
+    return mixing.mixed_rows(table(spark, folder, "documents"))
+
+
 @query
 def op4_id_files(spark: SparkSession, folder: str) -> DataFrame:
     """Documents as read back from files of coded ids."""
     return idfile.round_trip(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+
+
+@query
+def op8_topk(spark: SparkSession, folder: str) -> DataFrame:
+    """The 10 best candidates of every vector whose id is divisible by 100."""
+    return topk.top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
+ORACLES["op8_topk"] = """
+WITH v AS (
+  SELECT row_number() OVER () AS row_id, vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS vector
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.row_id AS query_row, q.vec_id AS query_id, x.vec_id, x.row_id,
+         CAST(list_sum(list_transform(range(1, len(x.vector) + 1), lambda i: x.vector[i] * q.vector[i])) AS BIGINT) AS score
+  FROM v q JOIN v x ON q.row_id <> x.row_id
+  WHERE q.vec_id % 100 = 0),
+ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_row ORDER BY score DESC, vec_id, row_id) AS INTEGER) AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
