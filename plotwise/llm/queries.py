@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plotwise.llm import arc, idfile, mixing, packing, topk
+from plotwise.llm import arc, idfile, mixing, packing, quality, topk
 from plotwise.llm.common import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,3 +80,11 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN first_id = page_id THEN
        CASE WHEN first_id <> page_id THEN first_id END AS refers_to
 FROM f
 """
+
+
+@query
+def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Base counts and verdict of every document; documents labelled as good are the trusted ones."""
+    docs = table(spark, folder, "documents")
+    trusted = table(spark, folder, "labels").filter("quality = 1").select("doc_id")
+    return quality.judge(docs, quality.learn(docs, trusted))
