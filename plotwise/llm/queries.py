@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plotwise.llm import arc, idfile, mixing, packing, quality, topk
-from plotwise.llm.common import ship
+from plotwise.llm import arc, idfile, langid, mixing, packing, quality, topk, toxicity
+from plotwise.llm.common import remainder, ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -88,3 +88,21 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     trusted = table(spark, folder, "labels").filter("quality = 1").select("doc_id")
     return quality.judge(docs, quality.learn(docs, trusted))
+
+
+@query
+def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity score of every document; rows whose crc32 leaves remainder 2 are held out from learning."""
+    docs = table(spark, folder, "documents")
+    model = toxicity.learn(docs, table(spark, folder, "labels"), learnable=remainder(F.col("doc_id")) != 2)
+    return toxicity.score(docs, model).select(
+        "doc_id", (remainder(F.col("doc_id")) == 2).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@query
+def op7_language(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of every document; rows whose crc32 leaves remainder 2 are held out from learning."""
+    docs = table(spark, folder, "documents")
+    model = langid.learn(docs, learnable=remainder(F.col("doc_id")) != 2)
+    return langid.identify(docs, model).select(
+        "doc_id", (remainder(F.col("doc_id")) == 2).alias("held_out"), "lang_pred", "score", "rejected")
