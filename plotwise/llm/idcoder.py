@@ -24,8 +24,9 @@ LANES = 4096
 
 STATE = np.uint64((1 << 48) - 1)   # the coder's state has 48 bits
 SETTLED = np.uint64(1 << 32)       # below this difference the top 16 bits are final
-LEAST = np.uint64(1 << 24)         # range below which bits are forced out
-MIX_BITS, ID_BITS = 12, 20         # precision of the mixing weights and of order 0
+LEAST = np.uint64(1 << 31)         # range below which bits are forced out
+MIX_BITS, ID_BITS = 10, 18         # precision of the mixing weights and of order 0
+BITS = MIX_BITS + ID_BITS
 HASH_BITS = 20
 TOP_CONFIDENCE = 15
 HEAD = struct.Struct("<4sIIIIII")  # mark, ids, lanes, alphabet, words, crc of the ids, crc of the rest
@@ -33,55 +34,63 @@ MARK = b"IDB1"
 
 
 class Model:
-    def __init__(self, alphabet: int, lanes: int):
-        self.alphabet = alphabet
+    """Predictions of all lanes for their next ids. ``grid`` holds the ids of the steps so far."""
+
+    def __init__(self, alphabet: int, grid: np.ndarray):
+        self.alphabet, self.grid = alphabet, grid
+        self.step = self.counted = 0
         self.seen = np.zeros(alphabet, np.int64)
-        self.step = 0
-        self.guess1, self.sure1 = np.zeros(alphabet, np.uint32), np.zeros(alphabet, np.uint8)
-        self.guess2, self.sure2 = np.zeros(1 << HASH_BITS, np.uint32), np.zeros(1 << HASH_BITS, np.uint8)
+        # A predicted id and its confidence share a number: id * 16 + confidence.
+        self.table1 = np.zeros(alphabet, np.uint32)
+        self.table2 = np.zeros(1 << HASH_BITS, np.uint32)
         self.votes = np.ones((TOP_CONFIDENCE + 1) ** 2 * 3, np.int64)
-        self.last, self.before = np.zeros(lanes, np.uint32), np.zeros(lanes, np.uint32)
+        self.last = self.before = np.zeros(grid.shape[1], np.uint32)
         self.refresh_ids()
         self.refresh_mix()
 
     def refresh_ids(self) -> None:
         """Order 0: every id keeps one slot, the others follow the counts."""
+        self.seen += np.bincount(self.grid[self.counted:self.step].ravel(), minlength=self.alphabet)
+        self.counted = self.step
         free = (1 << ID_BITS) - self.alphabet
-        self.size0 = (1 + self.seen * free // max(1, int(self.seen.sum()))).astype(np.uint64)
-        self.size0[0] += (1 << ID_BITS) - int(self.size0.sum())
-        ends = np.cumsum(self.size0)
-        self.start0 = ends - self.size0
+        size = 1 + self.seen * free // max(1, int(self.seen.sum()))
+        size[0] += (1 << ID_BITS) - int(size.sum())
+        self.size0 = size.astype(np.uint64)
+        self.start0 = np.cumsum(self.size0) - self.size0
         self.slots = None
 
-    def id_at(self, value: np.ndarray) -> np.ndarray:
+    def id_at(self, slot: np.ndarray) -> np.ndarray:
         if self.slots is None:
             self.slots = np.repeat(np.arange(self.alphabet, dtype=np.uint32), self.size0.astype(np.int64))
-        return self.slots[value.astype(np.int64)]
+        return self.slots[slot.astype(np.int64)]
 
     def refresh_mix(self) -> None:
         votes = self.votes.reshape(-1, 3)
         sizes = 1 + votes * ((1 << MIX_BITS) - 3) // votes.sum(axis=1, keepdims=True)
         sizes[:, 2] += (1 << MIX_BITS) - sizes.sum(axis=1)
-        self.mix_size = sizes.ravel().astype(np.uint64)
-        self.mix_start = (np.cumsum(sizes, axis=1) - sizes).ravel().astype(np.uint64)
+        self.weight = sizes.ravel().astype(np.uint64)
+        self.start = (np.cumsum(sizes, axis=1) - sizes).ravel().astype(np.uint64) << np.uint64(ID_BITS)
+        self.size = self.weight << np.uint64(ID_BITS)
 
     def predict(self) -> None:
-        self.at2 = ((self.before * np.uint32(0x9E3779B1) ^ self.last * np.uint32(0x85EBCA6B)) >> np.uint32(32 - HASH_BITS)).astype(np.int64)
-        self.id2, self.id1 = self.guess2[self.at2], self.guess1[self.last]
-        self.c2, self.c1 = self.sure2[self.at2], self.sure1[self.last]
-        self.context = (self.c2.astype(np.int64) * (TOP_CONFIDENCE + 1) + self.c1) * 3
+        self.at2 = (self.before * np.uint32(0x9E3779B1) ^ self.last * np.uint32(0x85EBCA6B)) >> np.uint32(32 - HASH_BITS)
+        self.had2, self.had1 = self.table2[self.at2], self.table1[self.last]
+        self.id2, self.id1 = self.had2 >> np.uint32(4), self.had1 >> np.uint32(4)
+        self.sure2, self.sure1 = self.had2 & np.uint32(15), self.had1 & np.uint32(15)
+        self.context = (self.sure2 * np.uint32(3 * (TOP_CONFIDENCE + 1)) + self.sure1 * np.uint32(3)).astype(np.int64)
 
     def learn(self, ids: np.ndarray, choice: np.ndarray) -> None:
-        for guess, sure, at, had, c in ((self.guess2, self.sure2, self.at2, self.id2, self.c2),
-                                        (self.guess1, self.sure1, self.last, self.id1, self.c1)):
-            right = had == ids
-            sure[at] = np.where(right, np.minimum(c + 1, TOP_CONFIDENCE), np.where(c > 0, c >> 1, 1))
-            guess[at] = np.where(right | (c > 0), had, ids)
+        fresh = ids << np.uint32(4) | np.uint32(1)
+        for table, at, had, id_, sure in ((self.table2, self.at2, self.had2, self.id2, self.sure2),
+                                          (self.table1, self.last, self.had1, self.id1, self.sure1)):
+            less = np.where(sure > 0, had - ((sure + np.uint32(1)) >> np.uint32(1)), fresh)
+            table[at] = np.where(id_ == ids, had + (sure < TOP_CONFIDENCE), less)
         self.votes += 4 * np.bincount(self.context + choice, minlength=len(self.votes))
-        self.refresh_mix()
-        self.seen += np.bincount(ids, minlength=self.alphabet)
         self.before, self.last = self.last, ids
+        self.grid[self.step] = ids
         self.step += 1
+        if self.step < 8 or self.step % 4 == 0:
+            self.refresh_mix()
         if self.step & (self.step - 1) == 0 or self.step % 32 == 0:
             self.refresh_ids()
 
@@ -93,24 +102,29 @@ def layout(n: int, lanes: int) -> tuple[int, int]:
 
 
 class Coder:
-    """The state of all lanes; ``pick`` numbers the lanes that take part."""
+    """The state of all lanes."""
 
     def __init__(self, lanes: int):
         self.low, self.range = np.zeros(lanes, np.uint64), np.full(lanes, STATE)
 
-    def narrow(self, pick: np.ndarray, unit: np.ndarray, start: np.ndarray, size: np.ndarray) -> None:
-        low, width = self.low[pick] + unit * start, unit * size
+    def narrow(self, unit: np.ndarray, start: np.ndarray, size: np.ndarray) -> None:
+        low, width = self.low, self.range
+        low += unit * start
+        np.multiply(unit, size, out=width)
+        rows = None
         while True:
-            settled = (low ^ (low + width)) < SETTLED
-            out = settled | (width < LEAST)
-            if not out.any():
-                break
-            rows = np.flatnonzero(out)
+            settled = (low ^ (low + width)) < SETTLED if rows is None else (low[rows] ^ (low[rows] + width[rows])) < SETTLED
+            out = settled | ((width if rows is None else width[rows]) < LEAST)
+            pick = np.flatnonzero(out)
+            if not len(pick):
+                return
+            settled = settled[pick]
+            rows = pick if rows is None else rows[pick]
             part = low[rows]
-            width[rows] = np.where(settled[rows], width[rows], -part & (LEAST - np.uint64(1))) << np.uint64(16)
+            wide = np.where(settled, width[rows], -part & (LEAST - np.uint64(1)))
+            width[rows] = wide << np.uint64(16)
             low[rows] = (part << np.uint64(16)) & STATE
-            self.shift(pick[rows], part)
-        self.low[pick], self.range[pick] = low, width
+            self.shift(rows, part)
 
 
 class Encoder(Coder):
@@ -123,9 +137,6 @@ class Encoder(Coder):
         self.words.append((low >> np.uint64(32)).astype("<u2"))
         self.owners.append(pick.astype(np.uint16))
 
-    def code(self, pick: np.ndarray, bits: int, start: np.ndarray, size: np.ndarray) -> None:
-        self.narrow(pick, self.range[pick] >> np.uint64(bits), start, size)
-
     def finish(self) -> tuple[np.ndarray, np.ndarray]:
         """The lanes' words one lane after another, and how many each has."""
         every = np.arange(len(self.low))
@@ -148,29 +159,31 @@ class Decoder(Coder):
         self.value[pick] = ((self.value[pick] << np.uint64(16)) & STATE) | self.words[self.next[pick]]
         self.next[pick] += 1
 
-    def slot(self, pick: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-        unit = self.range[pick] >> np.uint64(bits)
-        return unit, np.minimum((self.value[pick] - self.low[pick]) // unit, np.uint64((1 << bits) - 1))
+    def slot(self) -> tuple[np.ndarray, np.ndarray]:
+        unit = self.range >> np.uint64(BITS)
+        return unit, np.minimum((self.value - self.low) // unit, np.uint64((1 << BITS) - 1))
 
 
 def encode_block(ids: np.ndarray, lanes: int = LANES) -> bytes:
-    """One block: head, words per lane, words. At most 2^20 different ids, all below 2^20."""
+    """One block: head, words per lane, words. Ids are below 2^17."""
     n, alphabet = len(ids), int(ids.max()) + 1
     if alphabet > 1 << (ID_BITS - 1):
-        raise ValueError("ids must be below 524288")
+        raise ValueError(f"ids must be below {1 << (ID_BITS - 1)}")
     lanes, steps = layout(n, lanes)
-    grid = np.zeros(lanes * steps, np.uint32)
-    grid[:n] = ids
-    grid = np.ascontiguousarray(grid.reshape(lanes, steps).T)
-    model, coder, every = Model(alphabet, lanes), Encoder(lanes), np.arange(lanes)
-    for row in grid:
+    flat = np.zeros(lanes * steps, np.uint32)
+    flat[:n] = ids
+    rows = np.ascontiguousarray(flat.reshape(lanes, steps).T)
+    model, coder = Model(alphabet, np.empty_like(rows)), Encoder(lanes)
+    for row in rows:
         model.predict()
         choice = np.where(row == model.id2, 0, np.where(row == model.id1, 1, 2))
         at = model.context + choice
-        coder.code(every, MIX_BITS, model.mix_start[at], model.mix_size[at])
+        start, size = model.start[at], model.size[at]
         rest = np.flatnonzero(choice == 2)
-        if len(rest):
-            coder.code(rest, ID_BITS, model.start0[row[rest]], model.size0[row[rest]])
+        weight = model.weight[at[rest]]
+        start[rest] += weight * model.start0[row[rest]]
+        size[rest] = weight * model.size0[row[rest]]
+        coder.narrow(coder.range >> np.uint64(BITS), start, size)
         model.learn(row, choice)
     words, counts = coder.finish()
     body = counts.astype("<u4").tobytes() + words.tobytes()
@@ -193,23 +206,23 @@ def decode_block(block: bytes) -> np.ndarray:
     counts = np.frombuffer(block, "<u4", lanes, HEAD.size).astype(np.int64)
     words = np.frombuffer(block, "<u2", -1, HEAD.size + 4 * lanes)
     steps = -(-n // lanes)
-    model, coder, every = Model(alphabet, lanes), Decoder(words, counts), np.arange(lanes)
     grid = np.zeros((steps, lanes), np.uint32)
-    for t in range(steps):
+    model, coder = Model(alphabet, grid), Decoder(words, counts)
+    for _ in range(steps):
         model.predict()
-        unit, value = coder.slot(every, MIX_BITS)
-        second = value >= model.mix_start[model.context + 1]
-        choice = second.astype(np.int64) + (value >= model.mix_start[model.context + 2])
+        unit, value = coder.slot()
+        choice = (value >= model.start[model.context + 1]).astype(np.int64)
+        choice += value >= model.start[model.context + 2]
         at = model.context + choice
-        coder.narrow(every, unit, model.mix_start[at], model.mix_size[at])
+        start, size = model.start[at], model.size[at]
         row = np.where(choice == 0, model.id2, model.id1)
         rest = np.flatnonzero(choice == 2)
-        if len(rest):
-            unit, value = coder.slot(rest, ID_BITS)
-            found = model.id_at(value)
-            row[rest] = found
-            coder.narrow(rest, unit, model.start0[found], model.size0[found])
-        grid[t] = row
+        weight = model.weight[at[rest]]
+        found = model.id_at((value[rest] - start[rest]) // weight)
+        row[rest] = found
+        start[rest] += weight * model.start0[found]
+        size[rest] = weight * model.size0[found]
+        coder.narrow(unit, start, size)
         model.learn(row, choice)
     ids = np.ascontiguousarray(grid.T).ravel()[:n]
     if zlib.crc32(ids.astype("<u4").tobytes()) != crc_ids:

@@ -23,7 +23,7 @@ PARTS = 500_000
 
 _LOADED: dict[str, "Encoder"] = {}
 
-CUT = "\x00"
+CUT, BLANK = "\x00", "\u0120"
 #: White space next to white space, or a character that marks cuts.
 UNSAFE = r"[\s\x0b\x1c-\x1f\x{85}\pZ][\s\x0b\x1c-\x1f\x{85}\pZ]|\x00"
 
@@ -68,7 +68,7 @@ class Encoder:
         kind = json.loads(self.tokenizer.to_str())
         self.words = SPLITS.get(json.dumps([kind["normalizer"], kind["pre_tokenizer"]], sort_keys=True))
         self.fold = kind["normalizer"] is not None
-        self.byte = byte_letters()
+        self.byte, self.model = byte_letters(), self.tokenizer.model.tokenize
         special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.unsafe = "|".join([UNSAFE, *("\\Q" + s + "\\E" for s in special)])
         self.forget()
@@ -90,23 +90,37 @@ class Encoder:
             return self.plain(parts)
         out: list[list[int]] = []
         late: list[tuple[int, str]] = []
-        known, tokenize, byte, split, fold, alien = self.known_words, self.tokenizer.model.tokenize, self.byte, self.words, self.fold, ALIEN.search
+        add, known, alien, one = out.append, self.known_words, ALIEN.search, self.one
         for part in parts:
-            if not part.isascii() and alien(part):
+            plain = part.isascii()
+            if not plain and alien(part):
                 late.append((len(out), part))
-                out.append([])
+                add([])
+                continue
+            if self.fold:
+                part = part.lower().strip(" ")
+            if (part[1:] if part[:1] == " " else part).isalpha():  # a word by itself
+                add(known.get(part) or one(part, plain))
                 continue
             ids: list[int] = []
-            for word in split(part.lower() if fold else part):
+            for word in self.words(part):
                 got = known.get(word)
                 if got is None:
-                    got = known[word] = [t.id for t in tokenize(word.encode().decode("latin-1").translate(byte))]
+                    got = known[word] = one(word, plain)
                 ids += got
-            out.append(ids)
+            add(ids)
         for (place, _), ids in zip(late, self.plain([p for _, p in late]) if late else [], strict=True):
             out[place] = ids
         return out
 
+    def one(self, word: str, plain: bool) -> list[int]:
+        """Ids of one word, as the vocabulary's model sees it."""
+        if plain and word.isprintable():
+            word = word.replace(" ", BLANK)
+        else:
+            word = word.encode().decode("latin-1").translate(self.byte)
+        return [t.id for t in self.model(word)]
+
     def learn(self, parts: list[str]) -> None:
         found = self.ids_of(parts)
         sizes = np.fromiter(map(len, found), np.int32, len(found))
@@ -128,14 +142,18 @@ class Encoder:
         parts = pc.split_pattern(cut, CUT)
         bounds = np.asarray(parts.offsets, dtype=np.int64)
         coded = parts.flatten().dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        new = [p for p in distinct if p not in self.known]
-        if new and len(self.known) + len(new) > PARTS:
-            self.forget()
-            new = distinct
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        found = list(map(self.known.get, distinct))
+        new = [p for p, at in zip(distinct, found, strict=True) if at is None]
         if new:
+            if len(self.known) + len(new) > PARTS:
+                self.forget()
+                new = distinct
             self.learn(new)
-        places = np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))
+            first = len(self.known) - len(new)
+            late = iter(range(first, len(self.known)))
+            found = list(late) if new is distinct else [next(late) if at is None else at for at in found]
+        places = np.array(found, np.int64)
         part = places[np.asarray(coded.indices)]
         sizes = self.sizes[part].astype(np.int64)
         ends = np.cumsum(sizes)
