@@ -10,6 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +18,7 @@ import plotwise
 
 #: Bytes of text that one vectorised step works on, so that a task's memory stays flat.
 SLICE_BYTES = 4 << 20
+SLICE_ROWS = 8192
 
 #: White space of the word rules: blank and the code points 9 to 13.
 SPACES = "\t\n\x0b\x0c\r "
@@ -50,7 +52,8 @@ def columns(df: DataFrame, **wanted: str | Column) -> DataFrame:
     return df.select(*[(df[c] if isinstance(c, str) else c).alias(name) for name, c in wanted.items()])
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES,
+           rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
     """Rows of the batches in runs of about ``limit`` bytes of text; a longer text is a run of its own."""
     for batch in batches:
         if not batch.num_rows:
@@ -59,7 +62,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
         first = 0
         while first < batch.num_rows:
             done = sizes[first - 1] if first else 0
-            last = max(first + 1, int(np.searchsorted(sizes, done + limit, side="right")))
+            last = min(first + rows, max(first + 1, int(np.searchsorted(sizes, done + limit, side="right"))))
             yield batch.slice(first, last - first)
             first = last
 
@@ -94,3 +97,20 @@ def remainder(doc_id: Column) -> Column:
 
 def records(rows: dict, schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(rows[f.name], f.type) for f in schema], schema=schema)
+
+
+def mixed(keys: np.ndarray) -> np.ndarray:
+    """64-bit mixing, so that sums of mixed keys hardly ever meet."""
+    keys = (keys ^ (keys >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    keys = (keys ^ (keys >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return keys ^ (keys >> np.uint64(31))
+
+
+def split_words(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """Offsets of each text's words, and the words of all texts."""
+    parts = pc.ascii_split_whitespace(texts.fill_null(""))
+    words = parts.flatten()
+    real = np.asarray(pc.not_equal(pc.binary_length(words), 0))
+    bounds = np.asarray(parts.offsets, np.int64)
+    bounds = np.concatenate([[0], np.cumsum(real)])[bounds - bounds[0]]
+    return bounds, words if real.all() else words.filter(pa.array(real))

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plotwise.llm import arc, idfile, langid, mixing, packing, quality, topk, toxicity
+from plotwise.llm import arc, idfile, langid, mixing, neardup, packing, quality, topk, toxicity
 from plotwise.llm.common import remainder, ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -106,3 +106,9 @@ def op7_language(spark: SparkSession, folder: str) -> DataFrame:
     model = langid.learn(docs, learnable=remainder(F.col("doc_id")) != 2)
     return langid.identify(docs, model).select(
         "doc_id", (remainder(F.col("doc_id")) == 2).alias("held_out"), "lang_pred", "score", "rejected")
+
+
+@query
+def op5_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    """Components of documents whose sets of 3-word shingles are similar to 85 % or more."""
+    return neardup.near_duplicates(table(spark, folder, "documents"), size=3, percent=85)
