@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plotwise.llm import arc, idfile, langid, mixing, neardup, packing, quality, topk, toxicity
+from plotwise.llm import arc, idfile, langid, mixing, neardup, packing, quality, secrets, topk, toxicity
 from plotwise.llm.common import remainder, ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,6 +31,19 @@ def op1_packing(spark: SparkSession, folder: str) -> DataFrame:
     return placed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "sequence_tokens", "row_id")
 
 
+@query
+def op2_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    """Spans of secrets in every document; the base kinds come first among the rules."""
+    found = secrets.scan(table(spark, folder, "documents"))
+    base = F.filter("spans", lambda s: s["order"] < len(secrets.BASE))
+    counts = [F.size(F.filter(F.transform("spans", lambda s: s["kind"]), lambda k: k == kind)).cast("long").alias(f"n_{kind}")  # noqa: B023
+              for kind in (r.kind for r in secrets.BASE)]
+    return found.select("doc_id", *counts, F.sha2(secrets.listed(base), 256).alias("base_sha256"), secrets.listed(F.col("spans")).alias("spans"))
+
+
+ORACLES["op2_secrets"] = secrets.oracle()
+
+
 @query
 def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """Words that a mix of all sources takes from each document."""
