@@ -52,7 +52,7 @@ def columns(df: DataFrame, **wanted: str | Column) -> DataFrame:
     return df.select(*[(df[c] if isinstance(c, str) else c).alias(name) for name, c in wanted.items()])
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES,
+def slices(batches: Iterator[pa.RecordBatch], column: str | int = "text", limit: int = SLICE_BYTES,
            rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
     """Rows of the batches in runs of about ``limit`` bytes of text; a longer text is a run of its own."""
     for batch in batches:

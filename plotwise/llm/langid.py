@@ -197,8 +197,8 @@ def accepted(docs: DataFrame, model: Model, text_column: str = "text") -> DataFr
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(iter([batch]), batch.schema.field(at).name):
-                _, _, rejected = shared.value.predict(part.column(at))
+            for part in slices(iter([batch]), at):
+                _, _, rejected = shared.value.predict(part.column(at).cast(pa.string()))
                 yield part.filter(pa.array(~rejected))
 
     return docs.mapInArrow(keep, docs.schema)

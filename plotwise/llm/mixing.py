@@ -240,3 +240,19 @@ def mixed_rows(docs: DataFrame, seed: int = 11) -> DataFrame:
     return keyed.select("*", each.alias("nth")).select(
         "doc_id", "size", "source_size", "target",
         (F.col("size") * (F.col("copies") + (F.col("nth") <= F.col("extra")).cast("long"))).alias("taken"), "source")
+
+
+def mixed_documents(docs: DataFrame, source_column: str = "source", text_column: str = "text", id_column: str = "doc_id",
+                    seed: int = 11) -> DataFrame:
+    """The documents of the mix, each as often as it is taken, with their columns as they are.
+
+    Of rows that are alike in id, source and size, all are taken once more or none.
+    """
+    decisions, _, _ = mix_sources(docs, source_column, text_column, id_column, seed)
+    decisions = decisions.select(F.col("doc_id").alias("d_id"), F.col("source").alias("d_source"), F.col("size").alias("d_size"),
+                                 (F.col("copies") + (2 * F.col("extra") >= F.col("rows")).cast("long")).alias("d_times")).filter("d_times > 0 and d_size > 0")
+    rows = columns(docs, **{f"own_{i}": c for i, c in enumerate(docs.columns)}, r_id=id_column,
+                   r_source=docs[source_column].cast("string"), r_size=words(docs[text_column].cast("string")))
+    same = F.col("r_id").eqNullSafe(F.col("d_id")) & F.col("r_source").eqNullSafe(F.col("d_source")) & (F.col("r_size") == F.col("d_size"))
+    taken = rows.join(decisions, same).withColumn("d_nth", F.explode(F.sequence(F.lit(1).cast("long"), F.col("d_times"))))
+    return taken.select(*[F.col(f"own_{i}").alias(c) for i, c in enumerate(docs.columns)])
