@@ -19,7 +19,6 @@ from __future__ import annotations
 
 import re._constants as rc
 import re._parser as rp  # the standard library's reading of an expression
-from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -31,6 +30,7 @@ from plotwise.session import staged
 BLOCK_ROWS = 4096
 #: Texts that a part of an expression may stand for, and characters of a set, before the part ends there.
 MOST_TEXTS, MOST_CHARACTERS = 64, 8
+SPANS = "array<struct<start:bigint,order:int,end:bigint,body:bigint>>"
 #: Marks around matches; where a text holds one, it is scanned with another control character in its place.
 OPEN, MIDDLE, CLOSE, OTHER = "\x01", "\x02", "\x03", "\x04"
 
@@ -191,7 +191,7 @@ def safe(text: Column) -> Column:
 
 
 def spans_of(parts: Column, order: int, rule: Rule) -> Column:
-    """(start, order, end) of each match that is long enough."""
+    """(start, order, end, start of the body) of each match that is long enough."""
     at = F.element_at
 
     def step(state: Column, part: Column) -> Column:
@@ -199,11 +199,11 @@ def spans_of(parts: Column, order: int, rule: Rule) -> Column:
         head = F.length(F.substring_index(part, MIDDLE, 1)).cast("long")
         body = F.length(F.substring_index(F.substring_index(part, CLOSE, 1), MIDDLE, -1)).cast("long")
         start = state["at"]
-        span = F.struct(start.alias("start"), F.lit(order).alias("order"), (start + head + body).alias("end"))
+        span = F.struct(start.alias("start"), F.lit(order).alias("order"), (start + head + body).alias("end"), (start + head).alias("body"))
         found = F.when(body >= rule.least, F.array_append(state["spans"], span)).otherwise(state["spans"])
         return F.struct((start + F.length(part) - 2).cast("long").alias("at"), found.alias("spans"))
 
-    first = F.struct(F.length(at(parts, 1)).cast("long").alias("at"), F.array().cast("array<struct<start:bigint,order:int,end:bigint>>").alias("spans"))
+    first = F.struct(F.length(at(parts, 1)).cast("long").alias("at"), F.array().cast(SPANS).alias("spans"))
     return F.aggregate(F.slice(parts, F.lit(2), F.size(parts)), first, step, lambda s: s["spans"])
 
 
@@ -219,19 +219,24 @@ def with_candidates(docs: DataFrame, rules: tuple[Rule, ...], id_column: str, te
     return rows, [F.col("rules").bitwiseAND(F.lit(1 << i)) != 0 if i in queries else F.lit(True) for i in range(len(rules))]
 
 
+def scanned(docs: DataFrame, rules: tuple[Rule, ...], id_column: str, text_column: str, block_rows: int) -> DataFrame:
+    """Rows (``own_`` columns and ``text``) with their ``found``: (start, order, end, body), by start and then by rule."""
+    rows, wanted = with_candidates(docs, rules, id_column, text_column, block_rows)
+    own = [c for c in rows.columns if c.startswith("own_")]
+    rows = rows.select(*own, "text", "rules", safe(F.coalesce("text", F.lit(""))).alias("scan"))
+    marked = rows.select(*own, "text", *[F.when(w, parts_of(F.col("scan"), r)).alias(f"parts_{i}") for i, (r, w) in enumerate(zip(rules, wanted, strict=True))])
+    none = F.array().cast(SPANS)
+    each = [F.when(F.size(f"parts_{i}") > 1, spans_of(F.col(f"parts_{i}"), i, r)).otherwise(none) for i, r in enumerate(rules)]
+    return marked.select(*own, "text", F.array_sort(F.concat(*each)).alias("found"))
+
+
 def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_column: str = "doc_id", text_column: str = "text",
          block_rows: int = BLOCK_ROWS) -> DataFrame:
     """``doc_id`` and ``spans`` of every row: (start, order, end, kind), by start and then by the rules' order."""
-    rows, wanted = with_candidates(docs, rules, id_column, text_column, block_rows)
-    doc_id = F.col(f"own_{docs.columns.index(id_column)}").alias("doc_id")
-    rows = rows.select(doc_id, "rules", safe(F.coalesce("text", F.lit(""))).alias("text"))
-    none = F.array().cast("array<struct<start:bigint,order:int,end:bigint>>")
-    marked = rows.select("doc_id", "rules", *[F.when(w, parts_of(F.col("text"), r)).alias(f"parts_{i}")
-                                              for i, (r, w) in enumerate(zip(rules, wanted, strict=True))])
-    each = [F.when(F.size(f"parts_{i}") > 1, spans_of(F.col(f"parts_{i}"), i, r)).otherwise(none) for i, r in enumerate(rules)]
+    rows = scanned(docs, rules, id_column, text_column, block_rows)
     kinds = F.array(*[F.lit(r.kind) for r in rules])
-    spans = F.transform(F.array_sort(F.concat(*each)), lambda s: F.struct(s["start"], s["order"], s["end"], kinds[s["order"]].alias("kind")))
-    return marked.select("doc_id", spans.alias("spans"))
+    spans = F.transform("found", lambda s: F.struct(s["start"], s["order"], s["end"], kinds[s["order"]].alias("kind")))
+    return rows.select(F.col(f"own_{docs.columns.index(id_column)}").alias("doc_id"), spans.alias("spans"))
 
 
 def listed(spans: Column) -> Column:
@@ -239,30 +244,22 @@ def listed(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
-def put_back(rule: Rule, instead: str) -> Callable[[Column, Column], Column]:
-    """A part of a text as it goes into the redacted one; the first holds no match."""
-    def put(part: Column, place: Column) -> Column:
-        head = F.substring_index(part, MIDDLE, 1)
-        body = F.substring_index(F.substring_index(part, CLOSE, 1), MIDDLE, -1)
-        rest = F.substring(part, F.length(head) + F.length(body) + 3, F.length(part))
-        shown = F.when(F.length(body) >= rule.least, F.lit(instead)).otherwise(body)
-        return F.when(place == 0, part).otherwise(F.concat(head, shown, rest))
-    return put
-
-
 def redacted(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_column: str = "doc_id", text_column: str = "text",
              instead: str = "[REDACTED]", block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """All rows and columns, with the body of each match replaced in the text; rule by rule, in their order.
-
-    Rows are candidates by the text as it was, and a replacement makes no new match.
-    """
-    rows, wanted = with_candidates(docs, rules, id_column, text_column, block_rows)
-    for i, (rule, want) in enumerate(zip(rules, wanted, strict=True)):
-        rows = rows.withColumn("parts", F.when(want, parts_of(safe(F.col("text")), rule)))
-
-        rows = rows.withColumn("text", F.when(F.size("parts") > 1, F.array_join(F.transform("parts", put_back(rule, instead)), "")).otherwise(F.col("text")))
-    text = docs.columns.index(text_column)
-    return rows.select(*[(F.col("text") if i == text else F.col(f"own_{i}")).alias(c) for i, c in enumerate(docs.columns)])
+    """All rows and columns, with the body of each match replaced in the text; bodies that overlap are replaced as one."""
+    rows = scanned(docs, rules, id_column, text_column, block_rows)
+
+    def step(state: Column, span: Column) -> Column:
+        at = state["at"]
+        more = F.concat(state["out"], F.substring(F.col("text"), (at + 1).cast("int"), (span["body"] - at).cast("int")), F.lit(instead))
+        out = F.when(span["body"] >= at, more).otherwise(state["out"])
+        return F.struct(F.greatest(at, span["end"]).alias("at"), out.alias("out"))
+
+    first = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
+    text = F.aggregate("found", first, step, lambda s: F.concat(s["out"], F.substring(F.col("text"), (s["at"] + 1).cast("int"), F.length("text"))))
+    rows = rows.withColumn("text", F.when(F.size("found") > 0, text).otherwise(F.col("text")))
+    place = docs.columns.index(text_column)
+    return rows.select(*[(F.col("text") if i == place else F.col(f"own_{i}")).alias(c) for i, c in enumerate(docs.columns)])
 
 
 # -- the same in SQL
