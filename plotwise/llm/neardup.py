@@ -190,8 +190,10 @@ def components(links: DataFrame) -> DataFrame:
         tied = large.join(least, "u")
         small = staged(tied.select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
                        .unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
-        # Stars: no node that is tied to another has others tied to it.
-        if small.join(small.select(F.col("v").alias("u")), "u", "left_semi").isEmpty():
+        # Done when all are stars: a node that is tied to another is tied to that one only, and has none tied to it.
+        several = small.groupBy("u").agg(F.count("*").alias("ties")).filter("ties > 1").select("u")
+        inner = small.join(small.select(F.col("v").alias("u")), "u", "left_semi").select("u")
+        if several.unionByName(inner).isEmpty():
             return small.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
                 small.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
         edges = small

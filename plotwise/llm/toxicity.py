@@ -122,6 +122,7 @@ def learn(docs: DataFrame, labels: DataFrame, learnable: Column | None = None, l
         return Model(none, np.zeros(1), float(np.log(share / (1 - share))))
     chosen = learning.pick(marked, "label", per_label, seed)
     sample = learning.sample_texts(columns(docs, doc_id=id_column, text=text_column), chosen, F.col("text").cast("string"), "toxicity")
+    sample = sample.withColumn("doc_id", F.col("doc_id").cast("long"))
     sizes = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
     documents = np.array([sizes.get(0, 0), sizes.get(1, 0)])
     if not documents.all():
@@ -132,15 +133,16 @@ def learn(docs: DataFrame, labels: DataFrame, learnable: Column | None = None, l
     feature[best] = np.arange(len(best))
     scale = ratio[best]
     shared = sample.sparkSession.sparkContext.broadcast(feature)
-    layout = pa.schema([("label", pa.int32()), ("numbers", pa.list_(pa.int32()))])
+    layout = pa.schema([("doc_id", pa.int64()), ("label", pa.int32()), ("numbers", pa.list_(pa.int32()))])
 
     def numbers_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             row, number = present(batch.column("text"), shared.value)
             ends = np.searchsorted(row, np.arange(batch.num_rows + 1)).astype(np.int32)
-            yield records({"label": batch.column("label"), "numbers": pa.ListArray.from_arrays(ends, number.astype(np.int32))}, layout)
+            yield records({"doc_id": batch.column("doc_id"), "label": batch.column("label"), "numbers": pa.ListArray.from_arrays(ends, number.astype(np.int32))}, layout)
 
-    table = sample.mapInArrow(numbers_of, "label int, numbers array<int>").toArrow().combine_chunks()
+    table = sample.mapInArrow(numbers_of, "doc_id long, label int, numbers array<int>").toArrow()
+    table = table.sort_by("doc_id").combine_chunks()  # sums in the same order each time
     lists = table.column("numbers").combine_chunks()
     y = np.asarray(table.column("label")).astype(np.float64)
     rows = np.repeat(np.arange(len(y)), np.diff(np.asarray(lists.offsets)))
