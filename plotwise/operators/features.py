@@ -24,8 +24,23 @@ def training_table(df: DataFrame, key: str = "id") -> DataFrame:
     return rows.select(key, *NUMERIC, *CATEGORICAL, TARGET)
 
 
-def one_hot(df: DataFrame, levels: Mapping[str, Sequence[object]]) -> DataFrame:
-    """0/1 columns ``<column>_<level>`` for the given levels; unknown levels give all zeros."""
+# Levels of a column that a one-hot table accepts.
+MAX_LEVELS = 1000
+
+
+def levels_of(df: DataFrame, columns: Sequence[str] = CATEGORICAL, most: int = MAX_LEVELS) -> dict[str, list]:
+    """Sorted distinct values of each column, learned from the data; more than ``most`` of one is an error."""
+    cells = F.explode(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("string").alias("level")) for c in columns]))
+    rows = df.select(cells.alias("cell")).select("cell.*").filter("level is not null").distinct().limit(most * len(columns) + 1).collect()
+    found = {c: sorted(r["level"] for r in rows if r["name"] == c) for c in columns}
+    if len(rows) > most * len(columns) or any(len(v) > most for v in found.values()):
+        raise ValueError(f"a column has more than {most} levels; map its spellings first")
+    return found
+
+
+def one_hot(df: DataFrame, levels: Mapping[str, Sequence[object]] | None = None) -> DataFrame:
+    """0/1 columns ``<column>_<level>`` for all levels in the data, or for the given ones; others give all zeros."""
+    levels = levels_of(df) if levels is None else levels
     flags = {f"{c}_{v}": F.when(F.col(c) == v, F.lit(1)).otherwise(F.lit(0))
              for c, values in levels.items() for v in values}
     return df.withColumns(flags).drop(*levels)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plotwise.functions import fixed
@@ -23,13 +23,17 @@ def metrics(scored: DataFrame, target: str, predictions: Mapping[str, str]) -> D
 
 
 def comparison(evaluated: DataFrame) -> DataFrame:
-    return evaluated.orderBy(F.desc("R2"), "rank")
+    return evaluated.orderBy(_score().desc(), "rank")
+
+
+def _score() -> Column:
+    """R2 to rank by; an undefined one (NULL or NaN) is the lowest."""
+    return F.when(F.isnan("R2") | F.col("R2").isNull(), F.lit(float("-inf"))).otherwise(F.col("R2"))
 
 
 def best_model(evaluated: DataFrame) -> DataFrame:
     """One row: highest R2, the earlier model on a tie; an undefined R2 ranks last."""
-    score = F.coalesce("R2", F.lit(float("-inf")))
-    pick = F.max_by(F.struct("model", "R2"), F.struct(score, -F.col("rank")))
+    pick = F.max_by(F.struct("model", "R2"), F.struct(_score(), -F.col("rank")))
     return evaluated.agg(pick.alias("b")).select(F.col("b.model").alias("model"), F.col("b.R2").alias("R2"))
 
 

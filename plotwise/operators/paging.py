@@ -29,7 +29,8 @@ DEEP = 100_000
 def page(df: DataFrame, page: int = 1, per_page: int = 20, sort_by: str = "price_thb",
          columns: Sequence[str] | None = None, price: str = "price_thb", tie: str = "id",
          deep: int = DEEP) -> DataFrame:
-    """One page of a sorted table; each task keeps only the rows up to the page's end."""
+    """One page of a sorted table; each task keeps only the rows up to the page's end. Pages below 1 are the first."""
+    page = max(1, page)
     wanted = [c for c in (columns or DISPLAY_COLUMNS) if c in df.columns]
     keys = sort_keys(df, sort_by, price, tie)
     offset = (page - 1) * per_page

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from plotwise.functions import display
+from plotwise.functions import fixed, display
 from plotwise.operators import filters, impute, paging
-from plotwise.suite.registry import query, table
+from plotwise.suite.registry import query, sql_pick, table
 from plotwise.suite.scalars import raw, raw_sql
 
 RAW_LISTINGS = {
@@ -14,7 +14,7 @@ RAW_LISTINGS = {
     "title": "CASE WHEN p_partkey % 13 = 0 THEN NULL WHEN p_partkey % 17 = 0 THEN '' WHEN p_partkey % 3 = 0 THEN "
              "upper(p_name) || ' (' || p_brand || ') with a view and a garden' ELSE p_name || ' ' || p_brand END",
     "property_type": "CASE WHEN p_size % 9 = 0 THEN NULL ELSE p_type END", "location": "p_brand",
-    "zone": "split_part('CBD|Inner City|Suburban|Outer', '|', CAST(p_partkey % 4 AS INT) + 1)",
+    "zone": sql_pick("p_partkey", list(fixed.ZONES)),
     "price_thb": "CASE WHEN p_size = 7 THEN NULL ELSE round(p_retailprice * (p_size * 100), 2) END",
     "area_sqm": "CASE WHEN p_size = 11 THEN NULL WHEN p_size = 12 THEN 0.0 ELSE CAST(p_size * 7 AS DOUBLE) END",
     "price_per_sqm": "CASE WHEN p_size = 13 THEN NULL ELSE CAST(p_partkey % 5000 AS DOUBLE) + 0.25 END",
@@ -126,8 +126,8 @@ def shown_cells(spark, d):
 
 def price_text_sql(p: str) -> str:
     return f"""(CASE WHEN {p} IS NULL THEN '฿0'
-        WHEN {p} >= 1000000 THEN '฿' || printf('%.2f', round({p} / 1000000, 2)) || ' ล้าน'
-        WHEN {p} >= 100000 THEN '฿' || printf('%.1f', round({p} / 100000, 1)) || ' แสน'
+        WHEN {p} >= 1000000 THEN '฿' || printf('%.2f', {p} / 1000000) || ' ล้าน'
+        WHEN {p} >= 100000 THEN '฿' || printf('%.1f', {p} / 100000) || ' แสน'
         ELSE '฿' || format('{{:,}}', CAST(round({p}) AS BIGINT)) END)"""
 
 
@@ -152,8 +152,8 @@ def price_text(spark, d):
 
 
 @query("compact_text", f"""
-    SELECT id, CASE WHEN amount IS NULL THEN '0' WHEN amount >= 1000000 THEN printf('%.1f', round(amount / 1e6, 1)) || 'M'
-                    WHEN amount >= 1000 THEN printf('%.0f', round(amount / 1e3)) || 'K'
+    SELECT id, CASE WHEN amount IS NULL THEN '0' WHEN amount >= 1000000 THEN printf('%.1f', amount / 1e6 + CASE WHEN amount % 500000 = 250000 THEN 0.01 ELSE 0 END) || 'M'
+                    WHEN amount >= 1000 THEN printf('%.0f', amount / 1e3 + CASE WHEN amount % 1000 = 500 THEN 0.1 ELSE 0 END) || 'K'
                     ELSE CAST(CAST(amount AS BIGINT) AS VARCHAR) END AS compact,
            CASE WHEN amount IS NULL THEN '0' ELSE format('{{:,}}', CAST(round(amount) AS BIGINT)) END AS grouped
     FROM {raw_sql('orders', RAW_AMOUNTS)}""")

@@ -9,15 +9,15 @@ from plotwise.operators import features, metrics
 from plotwise.operators.sizes import join_fitted
 from plotwise.plans import train
 from plotwise.suite.quality import SLOT_SQL
-from plotwise.suite.registry import query
+from plotwise.suite.registry import query, sql_pick
 from plotwise.suite.scalars import raw, raw_sql
 
-_TYPES, _ZONES = ["คอนโด", "ทาวน์โฮม", "ที่ดิน", "บ้านเดี่ยว"], ["CBD", "Inner City", "Outer", "Suburban"]
+_TYPES, _ZONES = sorted(fixed.TYPE_BASE_PRICE), sorted([*fixed.ZONES, fixed.UNKNOWN_ZONE])
 
 RAW_HOMES = {
     "id": "o_orderkey",
-    "property_type": "split_part('" + "|".join(_TYPES) + "', '|', CAST(o_custkey % 4 AS INT) + 1)",
-    "zone": "split_part('" + "|".join(_ZONES) + "|Unknown', '|', CAST(o_orderkey % 5 AS INT) + 1)",
+    "property_type": sql_pick("o_custkey", _TYPES),
+    "zone": sql_pick("o_orderkey", _ZONES),
     "area_sqm": "CASE WHEN o_orderkey % 40 = 0 THEN NULL ELSE CAST(o_custkey % 180 + 20 AS DOUBLE) END",
     "bedrooms": "CASE WHEN o_orderkey % 6 = 0 THEN NULL ELSE CAST(o_custkey % 5 AS DOUBLE) END",
     "bathrooms": "CASE WHEN o_orderkey % 8 = 0 THEN NULL ELSE CAST(o_custkey % 3 AS DOUBLE) END",
@@ -44,7 +44,7 @@ _TRAINING = f"""(SELECT id, area_sqm, coalesce(bedrooms, 1) AS bedrooms, coalesc
        + ", ".join(f"""CASE WHEN {c} = '{v}' THEN 1 ELSE 0 END AS "{c}_{v}" """ for c, vs in
                    (("zone", _ZONES), ("property_type", _TYPES)) for v in vs) + f" FROM {_TRAINING}")
 def features_onehot(spark, d):
-    return features.one_hot(training_rows(spark, d), {"zone": _ZONES, "property_type": _TYPES})
+    return features.one_hot(training_rows(spark, d))
 
 
 @query("split_hash", f"""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,6 +26,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def sql_pick(key: str, words: Sequence[str]) -> str:
+    """One of the words by a key that is not negative; a CASE runs far faster than splitting a list for each row."""
+    return sql_case(f"({key}) % {len(words)}", dict(enumerate(words)))
+
+
 def sql_case(key: str, mapping: dict, default: str = "NULL") -> str:
     """CASE expression of a small dictionary."""
     def lit(v):

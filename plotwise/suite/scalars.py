@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from plotwise.functions import dates, fixed, numbers, text
 from plotwise.operators import filters, impute
-from plotwise.suite.registry import query, sql_case, table
+from plotwise.suite.registry import query, sql_case, sql_pick, table
 
 
 def raw(spark, d, name, columns: dict[str, str]):
@@ -188,8 +188,7 @@ def convert_area(spark, d):
 _PLACES = ["Sukhumvit", " สุขุมวิท", "สุขุมวิทร์", "SILOM", "Lat Phrao ", "บางแค", "rangsit", "Nowhere", "  Ari", "หนองจอก"]
 RAW_PLACES = {
     "id": "c_custkey", "nation": "c_nationkey",
-    "place": "CASE WHEN c_custkey % 11 = 10 THEN NULL ELSE split_part('" + "|".join(_PLACES)
-             + "', '|', CAST(c_custkey % 11 AS INT) + 1) END",
+    "place": "CASE WHEN c_custkey % 11 = 10 THEN NULL ELSE " + sql_case("c_custkey % 11", dict(enumerate(_PLACES))) + " END",
     "kind": "CASE c_mktsegment WHEN 'HOUSEHOLD' THEN ' House ' WHEN 'BUILDING' THEN 'CONDOMINIUM' "
             "WHEN 'FURNITURE' THEN 'Land plot' ELSE c_mktsegment END",
 }
@@ -315,8 +314,8 @@ RAW_ESTIMATE = {
     "id": "p_partkey", "area_sqm": "CASE WHEN p_partkey % 9 = 0 THEN NULL ELSE CAST(p_size * 3 AS DOUBLE) END",
     "floor_text": "CASE p_partkey % 4 WHEN 0 THEN 'G' WHEN 1 THEN NULL ELSE CAST(p_size AS STRING) END",
     "near_bts": "CASE p_partkey % 3 WHEN 0 THEN NULL WHEN 1 THEN '  ' ELSE 'BTS ' || p_name END",
-    "property_type": "split_part('คอนโด|บ้านเดี่ยว|ทาวน์โฮม|ที่ดิน|villa', '|', CAST(p_partkey % 5 AS INT) + 1)",
-    "zone": "CASE p_size % 6 WHEN 5 THEN NULL ELSE split_part('CBD|Inner City|Suburban|Outer|Unknown', '|', p_size % 6 + 1) END",
+    "property_type": sql_pick("p_partkey", [*fixed.TYPE_BASE_PRICE, "villa"]),
+    "zone": sql_case("p_size % 6", dict(enumerate([*fixed.ZONES, fixed.UNKNOWN_ZONE]))),
 }
 
 
