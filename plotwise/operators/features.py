@@ -55,24 +55,30 @@ def with_split(df: DataFrame, key: str = "id", train_slots: int = 8) -> DataFram
     return df.withColumn("is_train", split_slot(F.col(key)) < train_slots)
 
 
-def feature_stages() -> list:
+def feature_stages(numeric: Sequence[str] = NUMERIC, categorical: Sequence[str] = CATEGORICAL) -> list:
     """Alphabetical one-hot of every level; a level unseen in training becomes all zeros.
 
     The indexer puts unseen levels last, and the encoder drops the last one.
     """
-    indexers = StringIndexer(inputCols=CATEGORICAL, outputCols=[f"{c}_index" for c in CATEGORICAL],
-                             handleInvalid="keep", stringOrderType="alphabetAsc")
-    encoder = OneHotEncoder(inputCols=indexers.getOutputCols(), outputCols=[f"{c}_vec" for c in CATEGORICAL],
-                            dropLast=True)
-    assembler = VectorAssembler(inputCols=[*NUMERIC, *encoder.getOutputCols()], outputCol="features")
-    return [indexers, encoder, assembler]
+    encoded = []
+    stages = []
+    if categorical:
+        indexers = StringIndexer(inputCols=list(categorical), outputCols=[f"{c}_index" for c in categorical],
+                                 handleInvalid="keep", stringOrderType="alphabetAsc")
+        encoder = OneHotEncoder(inputCols=indexers.getOutputCols(), outputCols=[f"{c}_vec" for c in categorical],
+                                dropLast=True)
+        encoded, stages = encoder.getOutputCols(), [indexers, encoder]
+    return [*stages, VectorAssembler(inputCols=[*numeric, *encoded], outputCol="features")]
 
 
-def fit_features(train: DataFrame):
-    return Pipeline(stages=feature_stages()).fit(train)
+def fit_features(train: DataFrame, numeric: Sequence[str] = NUMERIC, categorical: Sequence[str] = CATEGORICAL):
+    """Fitted feature stages; a column of more levels than ``MAX_LEVELS`` is an error before any level is indexed."""
+    if categorical:
+        levels_of(train, categorical)
+    return Pipeline(stages=feature_stages(numeric, categorical)).fit(train)
 
 
-def feature_names(feature_model) -> list[str]:
+def feature_names(feature_model, numeric: Sequence[str] = NUMERIC, categorical: Sequence[str] = CATEGORICAL) -> list[str]:
     """Names in vector order, such as ``zone_CBD``."""
-    labels = feature_model.stages[0].labelsArray
-    return [*NUMERIC, *[f"{c}_{v}" for c, values in zip(CATEGORICAL, labels) for v in values]]
+    labels = feature_model.stages[0].labelsArray if categorical else []
+    return [*numeric, *[f"{c}_{v}" for c, values in zip(categorical, labels) for v in values]]

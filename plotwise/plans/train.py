@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -22,12 +23,13 @@ class ModelSettings:
     """Sizes of the models; the defaults are those of a full run."""
 
     forest_trees: int = 100
-    forest_depth: int = 20
+    forest_depth: int = 30     # the most that Spark allows
     boosting_rounds: int = 200
     boosting_depth: int = 3
     boosting_step: float = 0.1
-    max_bins: int = 32
+    max_bins: int = 32         # split candidates of a numeric input
     seed: int = 42
+    bootstrap: bool = True     # whether each tree sees a sample with repeats
 
 
 @dataclass
@@ -44,7 +46,7 @@ def regressors(s: ModelSettings, names: list[str] | None = None) -> dict:
     every = {
         LINEAR: LinearRegression(regParam=0.0, standardization=False, **common),
         FOREST: RandomForestRegressor(numTrees=s.forest_trees, maxDepth=s.forest_depth, maxBins=s.max_bins,
-                                      featureSubsetStrategy="all", seed=s.seed, **common),
+                                      featureSubsetStrategy="all", seed=s.seed, bootstrap=s.bootstrap, **common),
         BOOSTING: GBTRegressor(maxIter=s.boosting_rounds, maxDepth=s.boosting_depth, stepSize=s.boosting_step,
                                maxBins=s.max_bins, seed=s.seed, **common),
     }
@@ -52,14 +54,15 @@ def regressors(s: ModelSettings, names: list[str] | None = None) -> dict:
 
 
 def train_and_evaluate(table: DataFrame, settings: ModelSettings = ModelSettings(), key: str = "id",
-                       names: list[str] | None = None) -> Trained:
+                       names: list[str] | None = None, numeric: Sequence[str] = features.NUMERIC,
+                       categorical: Sequence[str] = features.CATEGORICAL) -> Trained:
     """Fit the models on the train side, measure them on the test side, keep the best R2.
 
     ``table`` is a training table (``features.training_table``). Its vectors are
     kept in memory with spilling, since every boosting round reads them.
     """
     ensure_checkpoints(table.sparkSession)
-    feature_model = features.fit_features(table)
+    feature_model = features.fit_features(table, numeric, categorical)
     vectors = feature_model.transform(features.with_split(table, key)).select(
         key, "features", features.TARGET, "is_train").persist(StorageLevel.MEMORY_AND_DISK)
     train = vectors.filter("is_train")
@@ -79,7 +82,7 @@ def train_and_evaluate(table: DataFrame, settings: ModelSettings = ModelSettings
     weights = getattr(model, "featureImportances", None)
     importances = None
     if weights is not None:
-        pairs = zip(features.feature_names(feature_model), weights.toArray().tolist())
+        pairs = zip(features.feature_names(feature_model, numeric, categorical), weights.toArray().tolist())
         importances = table.sparkSession.createDataFrame(list(pairs), "feature string, importance double")
     return Trained(evaluation, best, PipelineModel([*feature_model.stages, model]), importances, scored)
 

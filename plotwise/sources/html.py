@@ -2,25 +2,41 @@
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plotwise.functions import fixed
 
-# Entities decoded in extracted texts; the ampersand goes last.
-_ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&nbsp;": " ", "&amp;": "&"}
+_ENTITY = r"^(#\d{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z]\w*);"
+
+
+def unescape(c: Column) -> Column:
+    """Text with its named and numbered character references decoded; unknown ones stay."""
+    names = F.create_map(*[F.lit(x) for name, code in name2codepoint.items() for x in (name, chr(code))])
+
+    def decoded(part: Column, place: Column) -> Column:
+        name = F.regexp_extract(part, _ENTITY, 1)
+        number = F.when(name.rlike("^#[xX]"), F.conv(F.substring(name, 3, 9), 16, 10)).when(name.startswith("#"), F.substring(name, 2, 9)).cast("long")
+        fits = (number > 0) & (number < 0x110000) & ~number.between(0xD800, 0xDFFF)
+        char = F.when(fits, F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")).when(~name.startswith("#"), names[name])
+        rest = F.substring(part, F.length(name) + 2, F.length(part))
+        return F.when(place == 0, part).otherwise(F.coalesce(F.concat(char, rest), F.concat(F.lit("&"), part)))
+
+    return F.when(F.contains(c, F.lit("&")), F.array_join(F.transform(F.split(c, "&", -1), decoded), "")).otherwise(c)
 
 
 def first_element_text(html: Column, tag: str, css_class: str | None = None) -> Column:
-    """Text of the first such element, ``N/A`` when there is none."""
+    """Text of the first such element outside comments, ``N/A`` when there is none."""
     attrs = r"(?:\s[^>]*)?"
     if css_class is not None:
-        attrs = rf"""\s[^>]*?class\s*=\s*["'](?:[^"'>]*\s)?{css_class}(?:\s[^"'>]*)?["'][^>]*"""
+        attrs = (rf"""\s[^>]*?class\s*=\s*(?:"(?:[^">]*\s)?{css_class}(?:\s[^">]*)?"|'(?:[^'>]*\s)?{css_class}(?:\s[^'>]*)?'"""
+                 rf"""|{css_class}(?=[\s>]))[^>]*""")
     pattern = rf"(?is)<{tag}{attrs}>(.*?)</{tag}\s*>"
-    found = F.regexp_replace(F.regexp_extract(html, pattern, 1), r"<[^>]*>", "")
-    for entity, char in _ENTITIES.items():
-        found = F.replace(found, F.lit(entity), F.lit(char))
-    return F.when(html.rlike(pattern), found).otherwise(F.lit(fixed.NOT_FOUND))
+    seen = F.when(F.contains(html, F.lit("<!--")), F.regexp_replace(html, r"(?s)<!--.*?-->", "")).otherwise(html)
+    found = unescape(F.regexp_replace(F.regexp_extract(seen, pattern, 1), r"<[^>]*>", ""))
+    return F.when(seen.rlike(pattern), found).otherwise(F.lit(fixed.NOT_FOUND))
 
 
 def parse_listings(pages: DataFrame, html: str = "html", source: str = fixed.HTML_SOURCE,

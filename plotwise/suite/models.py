@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from plotwise.functions import fixed
+from plotwise.functions import display, fixed
 from plotwise.operators import features, metrics
 from plotwise.operators.sizes import join_fitted
 from plotwise.plans import train
@@ -97,8 +97,8 @@ def best_model(spark, d):
     return metrics.best_model(_evaluation(spark, d)).select("model", F.round("R2", 8).alias("R2"))
 
 
-# Fewer trees and rounds than a full run; every row of the table is trained on.
-SETTINGS = train.ModelSettings(forest_trees=10, forest_depth=8, boosting_rounds=10)
+# Full size: 100 trees, 200 rounds, all three models, every row.
+SETTINGS = train.ModelSettings()
 
 
 @query("train_lr")
@@ -122,14 +122,47 @@ def importances(spark, d):
     return metrics.importances_or_default(spark, trained.importances)
 
 
-@query("batch_score")
-def batch_score(spark, d):
-    trained = train.train_and_evaluate(training_rows(spark, d), SETTINGS, names=[train.LINEAR, train.BOOSTING])
+def scored_homes(spark, d):
+    trained = train.train_and_evaluate(training_rows(spark, d), SETTINGS)
     inputs = raw(spark, d, "orders", RAW_HOMES).select("id", "area_sqm", "bedrooms", "bathrooms", "floor", "zone",
                                                        "property_type", "has_bts")
     return train.score(inputs, trained.model, trained.evaluation)
 
 
+# Every row is scored by the best of the three models; the texts follow from the price.
+@query("batch_score", f"""
+    SELECT id, area_sqm, zone, TRUE AS priced, TRUE AS text_fits, TRUE AS info_fits FROM {raw_sql('orders', RAW_HOMES)}""")
+def batch_score(spark, d):
+    price = F.col("predicted_price")
+    return scored_homes(spark, d).select(
+        "id", "area_sqm", "zone", (price.isNotNull() & ~F.isnan(price)).alias("priced"),
+        (F.col("formatted_price") == display.price_text(price)).alias("text_fits"),
+        F.col("model_info").rlike(r"^(Linear Regression|Random Forest|Gradient Boosting) \(R² = -?\d+\.\d{4}\)$").alias("info_fits"))
+
+
+# On one input of two values, least squares, one unsampled tree and one boosting round all predict a group's mean.
+_ONE_INPUT = f"""
+    WITH x AS (SELECT *, {SLOT_SQL.format(k='id')} < 8 AS is_train FROM {_TRAINING}),
+    g AS (SELECT has_bts, avg(price_thb) AS p FROM x WHERE is_train GROUP BY 1),
+    s AS (SELECT price_thb AS y, p FROM x JOIN g USING (has_bts) WHERE NOT is_train)"""
+ONE_TREE = train.ModelSettings(forest_trees=1, boosting_rounds=1, boosting_depth=1, bootstrap=False)
+
+
+@query("models_one_input", _ONE_INPUT + """
+    , e AS (SELECT round(avg(abs(p - y)), 2) AS MAE, round(sqrt(avg((p - y) * (p - y))), 2) AS RMSE,
+                   round(1 - sum((p - y) * (p - y)) / (count(*) * var_pop(y)), 8) AS R2 FROM s)
+    SELECT m.model, m.rank, MAE, RMSE, R2
+    FROM e, (VALUES ('Linear Regression', 0), ('Random Forest', 1), ('Gradient Boosting', 2)) m(model, rank)""")
+def models_one_input(spark, d):
+    return _rounded(train.train_and_evaluate(training_rows(spark, d), ONE_TREE, numeric=["has_bts"], categorical=[]).evaluation)
+
+
+@query("importances_one_input", "SELECT 'has_bts' AS feature, 1.0::DOUBLE AS importance")
+def importances_one_input(spark, d):
+    trained = train.train_and_evaluate(training_rows(spark, d), ONE_TREE, names=[train.FOREST], numeric=["has_bts"], categorical=[])
+    return metrics.importances_or_default(spark, trained.importances)
+
+
 @query("rule_score", f"""
     SELECT id, round(coalesce(area_sqm, 50) * CASE property_type WHEN 'คอนโด' THEN 120000 WHEN 'บ้านเดี่ยว' THEN 80000
         WHEN 'ทาวน์โฮม' THEN 70000 WHEN 'ที่ดิน' THEN 50000 ELSE 80000 END * CASE zone WHEN 'CBD' THEN 1.5

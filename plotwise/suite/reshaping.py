@@ -44,6 +44,18 @@ def source_counts(spark, d):
     return feeds.source_counts(_three_sources(spark, d))
 
 
+@query("csv_round_trip", r"""
+    SELECT CAST(p_partkey AS VARCHAR) AS id, ' ' || p_name || ' ' AS title, '"' || p_brand || '", ' || chr(10) || p_type AS note FROM part""")
+def csv_round_trip(spark, d):
+    """Blanks, quotes, commas and line breaks come back from a CSV file as they were."""
+    raw = table(spark, d, "part").select(
+        F.col("p_partkey").cast("string").alias("id"), F.concat(F.lit(" "), "p_name", F.lit(" ")).alias("title"),
+        F.concat(F.lit('"'), "p_brand", F.lit('", \n'), "p_type").alias("note"))
+    path = f"{shared_folder(spark)}/csv-{uuid.uuid4().hex}"
+    reports.write_csv(raw, path)
+    return feeds.read_csv(spark, path).select("id", "title", "note")
+
+
 @query("csv_null_tokens", """
     SELECT CAST(o_orderkey AS VARCHAR) AS id,
            CASE WHEN o_orderkey % 6 BETWEEN 0 AND 3 THEN NULL ELSE o_orderpriority END AS note,
@@ -112,14 +124,18 @@ def distinct_pairs(spark, d):
     return dedup.distinct_sorted(table(spark, d, "orders"), pair, pair)
 
 
-@query("fuzzy_dedup", """
-    SELECT p_partkey, p_name, p_brand, p_retailprice FROM (
-        SELECT *, row_number() OVER (
-            PARTITION BY trim(regexp_replace(lower(spelled), '[^\\pL\\pM\\pN]+', ' ', 'g')),
-                         trim(regexp_replace(lower(p_brand), '[^\\pL\\pM\\pN]+', ' ', 'g')),
-                         floor(ln(p_retailprice) / ln(1.05)) ORDER BY p_partkey) AS rn
+@query("fuzzy_dedup", r"""
+    WITH k AS (
+        SELECT p_partkey, p_name, p_brand, p_retailprice,
+               list_aggregate(list_sort(list_distinct(string_split(trim(regexp_replace(lower(spelled), '[^\pL\pM\pN]+', ' ', 'g')), ' '))), 'string_agg', ' ') AS t,
+               trim(regexp_replace(lower(p_brand), '[^\pL\pM\pN]+', ' ', 'g')) AS b
         FROM (SELECT *, CASE p_partkey % 3 WHEN 0 THEN upper(p_name) WHEN 1 THEN p_name || '!!'
-                                           ELSE replace(p_name, ' ', ' - ') END AS spelled FROM part)) WHERE rn = 1""")
+                                           ELSE replace(p_name, ' ', ' - ') END AS spelled FROM part)),
+    g AS (SELECT *, (SELECT max(o.p_retailprice) FROM k o WHERE o.t = k.t AND o.b = k.b AND o.p_retailprice < k.p_retailprice) AS below FROM k),
+    c AS (SELECT *, (SELECT max(s.p_retailprice) FROM g s WHERE s.t = g.t AND s.b = g.b AND s.p_retailprice <= g.p_retailprice
+                     AND (s.below IS NULL OR s.p_retailprice > s.below * 1.05)) AS bottom FROM g)
+    SELECT p_partkey, p_name, p_brand, p_retailprice FROM c
+    WHERE p_partkey = (SELECT min(o.p_partkey) FROM c o WHERE o.t = c.t AND o.b = c.b AND o.bottom = c.bottom)""")
 def fuzzy_dedup(spark, d):
     parts = table(spark, d, "part")
     k = F.col("p_partkey") % 3
@@ -142,12 +158,14 @@ def _element_sql(tag: str, css: str | None = None) -> str:
 
 @query("html_fields", f"""
     SELECT page_id, {_element_sql('h1', 'listing-title')} AS title, {_element_sql('span', 'price')} AS price,
-           'DDProperty' AS source, {_element_sql('h1')} AS heading, {_element_sql('title')} AS head_title FROM pages""")
+           'DDProperty' AS source, {_element_sql('h1')} AS heading, {_element_sql('title')} AS head_title,
+           {_element_sql('div', 'ad')} AS ad FROM pages""")
 def html_fields(spark, d):
     pages = table(spark, d, "pages").withColumns({
         "heading": html.first_element_text(F.col("html"), "h1"),
-        "head_title": html.first_element_text(F.col("html"), "title")})
-    return html.parse_listings(pages, keep=("page_id", "heading", "head_title"))
+        "head_title": html.first_element_text(F.col("html"), "title"),
+        "ad": html.first_element_text(F.col("html"), "div", "ad")})
+    return html.parse_listings(pages, keep=("page_id", "heading", "head_title", "ad"))
 
 
 @query("text_cleanup", r"""

@@ -221,21 +221,26 @@ def date_text(column: str, style: str) -> str:
     name = _MONTH.format(c=column)
     return {"iso": f"{y} || '-' || {mm} || '-' || {dd}", "dmy": f"{dd} || '/' || {mm} || '/' || {y}",
             "d_mon_yy": f"{dd} || ' ' || {name} || ' ' || {yy}", "mon_d_y": f"{name} || ' ' || {dd} || ', ' || {y}",
-            "dmyy": f"{dd} || '/' || {mm} || '/' || {yy}"}[style]
+            "dmyy": f"{dd} || '/' || {mm} || '/' || {yy}",
+            "d_mon_yyyy": f"{dd} || ' ' || {name} || ' ' || {y}"}[style]
 
 
 RAW_DATES = {
     "id": "o_orderkey", "price": "o_totalprice",
-    "written": f"CASE o_orderkey % 7 WHEN 0 THEN {date_text('o_orderdate', 'iso')} "
+    "written": f"CASE o_orderkey % 12 WHEN 0 THEN {date_text('o_orderdate', 'iso')} "
                f"WHEN 1 THEN {date_text('o_orderdate', 'dmy')} WHEN 2 THEN {date_text('o_orderdate', 'd_mon_yy')} "
                f"WHEN 3 THEN {date_text('o_orderdate', 'mon_d_y')} WHEN 4 THEN {date_text('o_orderdate', 'dmyy')} "
-               "WHEN 5 THEN 'junk' ELSE NULL END",
+               "WHEN 5 THEN 'junk' "
+               f"WHEN 6 THEN {date_text('o_orderdate', 'iso')} || ' 10:00:00' WHEN 7 THEN {date_text('o_orderdate', 'iso')} || 'T23:59:59' "
+               f"WHEN 8 THEN replace({date_text('o_orderdate', 'iso')}, '-', '/') WHEN 9 THEN replace({date_text('o_orderdate', 'dmy')}, '/', '-') "
+               f"WHEN 10 THEN {date_text('o_orderdate', 'd_mon_yyyy')} ELSE NULL END",
 }
 
 
 def parse_date_sql(c: str) -> str:
     # Short years first: %Y would read two digits as a year of the first century.
-    formats = ["%Y-%m-%d", "%d/%m/%y", "%d/%m/%Y", "%d %b %y", "%b %d, %Y"]
+    formats = ["%Y-%m-%d", "%Y-%m-%d %H:%M:%S", "%Y-%m-%dT%H:%M:%S", "%d/%m/%y", "%d/%m/%Y", "%d-%m-%Y", "%d %b %y", "%d %b %Y", "%b %d, %Y",
+               "%Y/%m/%d"]
     return "CAST(coalesce(" + ", ".join(f"try_strptime({c}, '{f}')" for f in formats) + ") AS DATE)"
 
 

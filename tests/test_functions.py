@@ -102,8 +102,10 @@ def test_types_and_flags(one):
 def test_price_text(one):
     prices = [2_675_000.0, 1_000_000.0, 250_000.0, 99_999.4, 0.0, None]
     assert one(display.price_text, *prices, schema="p double") == [
-        "฿2.68 ล้าน", "฿1.00 ล้าน", "฿2.5 แสน", "฿99,999", "฿0", "฿0"]
+        "฿2.67 ล้าน", "฿1.00 ล้าน", "฿2.5 แสน", "฿99,999", "฿0", "฿0"]
     assert one(display.compact, 1_234_567.0, 2_600.0, 12.0, None, schema="p double") == ["1.2M", "3K", "12", "0"]
+    assert one(display.price_text, 1_005_000.0, 145_000.0, 8_570_000.0, schema="p double") == ["฿1.00 ล้าน", "฿1.4 แสน", "฿8.57 ล้าน"]
+    assert one(display.compact, 1_250_000.0, 1_350_000.0, 2_500.0, 3_500.0, schema="p double") == ["1.3M", "1.4M", "3K", "4K"]
     assert one(display.short_title, "x" * 41, "ok", "", None, schema="t string") == [
         "x" * 40 + "...", "ok", "ไม่มีหัวข้อ", "ไม่มีหัวข้อ"]
     assert one(display.area_label, 50.4, 0.0, None, schema="a double") == ["50 ตร.ม.", "-", "-"]
@@ -113,3 +115,10 @@ def test_rule_estimate(one):
     rows = [(50.0, "คอนโด", "CBD", 1), (10.0, "x", "y", 0), (None, None, None, None)]
     got = one(numbers.rule_estimate, *rows, schema="a double, t string, z string, b int")
     assert got == pytest.approx([50 * 120000 * 1.5 * 1.1, 800_000.0, 50 * 120000 * 1.5])
+
+
+def test_dates_with_other_shapes(one):
+    texts = ["2024-03-05 10:00:00", "2024-03-05T10:00:00", "2024/03/05", "05-03-2024", "5 March 2024", "05 Mar 2024", "March 5, 2024",
+             "2024-03-05T10:00:00.5+07:00", "2024-13-05", "5 Smarch 2024", "31-02-2024", ""]
+    got = one(dates.parse_date, *texts, schema="t string")
+    assert [str(x) for x in got] == ["2024-03-05"] * 8 + ["None"] * 4

@@ -6,7 +6,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from plotwise.operators import aggregates, audit, dedup, filters, histogram, impute, metrics, paging, quality
+from plotwise.operators import aggregates, audit, dedup, features, filters, histogram, impute, metrics, paging, quality
 from plotwise.operators.quantiles import exact_quantiles
 from plotwise.operators.sizes import join_fitted, small_or_none
 
@@ -211,3 +211,33 @@ def test_metrics(spark):
 def test_date_cast_types(spark):
     df = spark.createDataFrame([("2024-03-05", 1.0)], "d string, p double")
     assert aggregates.dated(df, "d", "p").first()["_day"] == dt.date(2024, 3, 5)
+
+
+def test_undefined_r2_never_wins(spark):
+    rows = spark.createDataFrame([("a", 0, float("nan")), ("b", 1, 0.7), ("c", 2, None), ("d", 3, 0.7)], "model string, rank int, R2 double")
+    assert metrics.best_model(rows).first()["model"] == "b"
+    assert [r["model"] for r in metrics.comparison(rows).collect()] == ["b", "d", "a", "c"]
+
+
+def test_pages_below_the_first(spark):
+    rows = spark.createDataFrame([(i, float(i)) for i in range(50)], "id long, price_thb double")
+    want = paging.page(rows, 1, columns=["id"]).collect() if "id" in paging.DISPLAY_COLUMNS else paging.page(rows, 1, columns=["price_thb"]).collect()
+    assert paging.page(rows, 0, columns=["price_thb"]).collect() == paging.page(rows, -3, columns=["price_thb"]).collect()
+    assert len(want) == 20
+
+
+def test_levels_are_learned(spark):
+    rows = spark.createDataFrame([("x", "t1"), ("y", "t2"), ("Unknown", None)], "zone string, property_type string")
+    out = features.one_hot(rows)
+    assert set(out.columns) == {"zone_x", "zone_y", "zone_Unknown", "property_type_t1", "property_type_t2"}
+    with pytest.raises(ValueError):
+        features.levels_of(rows, most=2)
+
+
+def test_similar_prices_within_a_block(spark):
+    rows = [(1, "Nice Condo!!", "Ari", 100.0), (2, "condo - nice", "ARI", 100.5), (3, "nice condo", "Ari", 104.0), (4, "nice condo", "Ari", 104.9),
+            (5, "nice condo", "Ari", 120.0), (6, "nice condo", "Ari", None), (7, "nice condo", "Ari", 0.0), (8, "nice condo", "Ari", -5.0),
+            (9, "nice condo", "Ari", 0.0), (10, "nice condo", "Ari", None), (11, "nice condo", "Silom", 100.0), (12, None, "Ari", 100.0)]
+    df = spark.createDataFrame(rows, "id long, title string, place string, price double")
+    kept = {r["id"] for r in dedup.keep_first_similar(df, "title", "place", "price", ["id"]).collect()}
+    assert kept == {1, 5, 6, 7, 8, 11, 12}
