@@ -12,9 +12,9 @@ share a bucket, and links are confirmed on the full sets, in two passes:
 
 1. In each bucket, every class is compared with one centre (the class in the fullest buckets).
 2. Where a bucket still holds more than one component, the classes outside its largest
-   component are compared with the rest of the bucket. Blocks of sketches are compared
-   within tasks; only pairs that are likely enough by their sketches come out, once, in
-   the first band that they share. They are confirmed on the full sets as well.
+   component are compared with the rest of the bucket, by blocks within tasks: sketches
+   say which pairs are likely enough, the full sets decide, and a class gives one link to
+   each component that it is linked with.
 
 So a large group of near copies costs a comparison per copy, and pairs are never listed for
 a whole bucket. With bands for a chance of 1 in a million to miss a pair at the threshold,
@@ -217,8 +217,43 @@ def star_pairs(members: DataFrame, percent: int) -> DataFrame:
     return members.join(centre, "bucket").filter(F.col("node") != F.col("a")).filter(near).select("a", F.col("node").alias("b")).distinct()
 
 
-def rest_pairs(members: DataFrame, roots: DataFrame, classes: DataFrame, percent: int, coordinates: int) -> DataFrame:
-    """Likely pairs of different components in buckets that the first pass has left with several."""
+CELL = ["bucket", "rest_block", "all_block"]
+
+
+class Cell:
+    """Rows of one block of a bucket's outside classes (side 0) and one of all its classes (side 1)."""
+
+    def __init__(self, table: pa.Table, percent: int, coordinates: int):
+        self.side, self.node, self.n, self.root = (np.asarray(table.column(c)) for c in ("side", "node", "n", "root"))
+        self.outside = np.asarray(table.column("outside").combine_chunks().cast(pa.uint8())).astype(bool)
+        self.marks = np.frombuffer(b"".join(table.column("sketch").to_pylist()), "<u2").reshape(len(self.side), coordinates)
+        self.band = table.column("band")[0].as_py()
+        self.percent, self.least = percent, least_agreeing(percent, coordinates)
+
+    def likely(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs (row of side 0, row of side 1) of different components that are worth a look,
+        in the first band that they share; pairs of two outside classes once."""
+        x, y = np.flatnonzero(self.side == 0), np.flatnonzero(self.side == 1)
+        for at in range(0, len(x), 64):
+            some = x[at:at + 64]
+            good = agreeing(self.marks[some], self.marks[y]) >= self.least
+            good &= self.root[some][:, None] != self.root[y]
+            good &= 100 * np.minimum(self.n[some][:, None], self.n[y]) >= self.percent * np.maximum(self.n[some][:, None], self.n[y])
+            good &= ~self.outside[y] | (self.node[some][:, None] < self.node[y])
+            i, j = np.nonzero(good)
+            i, j = some[i], y[j]
+            shared = (self.marks[i] == self.marks[j]).reshape(len(i), self.marks.shape[1] // BAND_ROWS, BAND_ROWS).all(axis=2)
+            first = shared.argmax(axis=1) == self.band
+            yield i[first], j[first]
+
+
+def rest_links(members: DataFrame, roots: DataFrame, classes: DataFrame, signed: DataFrame, size: int, percent: int, coordinates: int) -> DataFrame:
+    """Links between components in buckets that the first pass has left with several.
+
+    Blocks of sketches say which classes have a likely partner; the texts of those come to
+    the same blocks, where their full sets are compared. A class gives one link to each
+    component that it is linked with, so neither likely pairs nor links are listed in full.
+    """
     own = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     parts = own.groupBy("bucket", "root").agg(F.count("*").alias("size"))
     open_ = parts.groupBy("bucket").agg(F.max(F.struct("size", "root")).alias("largest"), F.count("*").alias("parts"), F.sum("size").alias("held"))
@@ -234,32 +269,34 @@ def rest_pairs(members: DataFrame, roots: DataFrame, classes: DataFrame, percent
 
     left = rows.filter("outside").select(dealt(0, rest_blocks, all_blocks, "rest_block", "all_block"))
     right = rows.select(dealt(1, all_blocks, rest_blocks, "all_block", "rest_block"))
-    least = least_agreeing(percent, coordinates)
-    layout = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-
-    def compare(table: pa.Table) -> pa.Table:
-        side = np.asarray(table.column("side"))
-        marks = np.frombuffer(b"".join(table.column("sketch").to_pylist()), "<u2").reshape(len(side), coordinates)
-        node, n, root = (np.asarray(table.column(c)) for c in ("node", "n", "root"))
-        outside = np.asarray(table.column("outside").combine_chunks().cast(pa.uint8())).astype(bool)
-        band = table.column("band")[0].as_py()
-        x, y = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-        out_a, out_b = [], []
-        for at in range(0, len(x), 64):
-            some = x[at:at + 64]
-            good = agreeing(marks[some], marks[y]) >= least
-            good &= root[some][:, None] != root[y]
-            good &= 100 * np.minimum(n[some][:, None], n[y]) >= percent * np.maximum(n[some][:, None], n[y])
-            good &= ~outside[y] | (node[some][:, None] < node[y])
-            i, j = np.nonzero(good)
-            i, j = some[i], y[j]
-            shared = (marks[i] == marks[j]).reshape(len(i), coordinates // BAND_ROWS, BAND_ROWS).all(axis=2)
-            first = shared.argmax(axis=1) == band
-            out_a.append(node[i[first]])
-            out_b.append(node[j[first]])
-        return pa.table([np.concatenate(c) if c else np.zeros(0, np.int64) for c in (out_a, out_b)], schema=layout)
-
-    return left.unionByName(right).groupBy("bucket", "rest_block", "all_block").applyInArrow(compare, "a long, b long")
+    both = left.unionByName(right)
+
+    def involved(table: pa.Table) -> pa.Table:
+        found = [np.concatenate(pair) for pair in Cell(table, percent, coordinates).likely()]
+        return table.take(pa.array(np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)))
+
+    def linked(table: pa.Table) -> pa.Table:
+        cell = Cell(table, percent, coordinates)
+        bounds, keys = shingles(table.column("text").combine_chunks(), size)
+        keys &= np.uint64((1 << KEY_BITS) - 1)
+        out: list[tuple[int, int]] = []
+        for some, others in cell.likely():
+            for i in np.unique(some):
+                j = others[some == i]
+                mine = keys[bounds[i]:bounds[i + 1]]
+                theirs = np.concatenate([keys[bounds[k]:bounds[k + 1]] for k in j])
+                at = np.minimum(np.searchsorted(mine, theirs), len(mine) - 1)
+                ends = np.cumsum(cell.n[j])
+                common = np.concatenate([[0], np.cumsum(mine[at] == theirs)])
+                common = common[ends] - common[ends - cell.n[j]]
+                good = j[100 * common >= percent * (cell.n[i] + cell.n[j] - common)]
+                _, one = np.unique(cell.root[good], return_index=True)
+                out += [(int(cell.node[i]), int(cell.node[k])) for k in good[one]]
+        return pa.Table.from_pylist([{"a": a, "b": b} for a, b in out], pa.schema([("a", pa.int64()), ("b", pa.int64())]))
+
+    likely = staged(both.groupBy(CELL).applyInArrow(involved, both.schema), "likely")
+    texts = signed.select(F.col("row_id").alias("node"), "text")
+    return staged(likely.join(texts, "node").groupBy(CELL).applyInArrow(linked, "a long, b long"), "links")
 
 
 def resolve(docs: DataFrame, size: int, percent: int, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -274,7 +311,7 @@ def resolve(docs: DataFrame, size: int, percent: int, id_column: str = "doc_id",
     members = members_of(classes, bands)
     links = confirmed(star_pairs(members, percent), signed, size, percent)
     roots = components(links)
-    more = confirmed(rest_pairs(members, roots, classes, percent, coordinates), signed, size, percent)
+    more = rest_links(members, roots, classes, signed, size, percent, coordinates)
     roots = staged(components(links.unionByName(more)), "roots")
     named = classes.select("digest", "node", "first", "rows").join(roots, "node", "left")
     tops = named.filter("root is not null").groupBy("root").agg(F.min("first").alias("top"))
