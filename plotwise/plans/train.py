@@ -46,7 +46,8 @@ def regressors(s: ModelSettings, names: list[str] | None = None) -> dict:
     every = {
         LINEAR: LinearRegression(regParam=0.0, standardization=False, **common),
         FOREST: RandomForestRegressor(numTrees=s.forest_trees, maxDepth=s.forest_depth, maxBins=s.max_bins,
-                                      featureSubsetStrategy="all", seed=s.seed, bootstrap=s.bootstrap, **common),
+                                      featureSubsetStrategy="all", seed=s.seed, bootstrap=s.bootstrap,
+                                      maxMemoryInMB=1024, **common),
         BOOSTING: GBTRegressor(maxIter=s.boosting_rounds, maxDepth=s.boosting_depth, stepSize=s.boosting_step,
                                maxBins=s.max_bins, seed=s.seed, **common),
     }
@@ -63,8 +64,11 @@ def train_and_evaluate(table: DataFrame, settings: ModelSettings = ModelSettings
     """
     ensure_checkpoints(table.sparkSession)
     feature_model = features.fit_features(table, numeric, categorical)
-    vectors = feature_model.transform(features.with_split(table, key)).select(
-        key, "features", features.TARGET, "is_train").persist(StorageLevel.MEMORY_AND_DISK)
+    vectors = feature_model.transform(features.with_split(table, key)).select(key, "features", features.TARGET, "is_train")
+    # Every tree level reads the vectors again, so a table of few files is dealt over all cores once.
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    vectors = vectors.repartition(cores, key) if vectors.rdd.getNumPartitions() < cores else vectors
+    vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
     train = vectors.filter("is_train")
     scored = vectors.filter("not is_train").select(key, "features", features.TARGET)
     fitted, columns = {}, {}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -14,29 +15,14 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # Deep pages fall back to a distributed sort instead of a per-task heap.
-    "spark.sql.execution.topKSortFallbackThreshold": "100000",
 }
 
 
-# The projections of the job are wide. Above this size HotSpot leaves a generated
-# method uncompiled, so Spark should split the expressions instead of fusing them.
-METHOD_LIMIT = ("spark.sql.codegen.hugeMethodLimit", "8000")
-
-
-def tune(spark: SparkSession) -> SparkSession:
-    """Apply the one runtime setting the wide projections depend on, unless it was chosen already."""
-    key, value = METHOD_LIMIT
-    if spark.conf.get(key, None) in (None, "65535"):
-        spark.conf.set(key, value)
-    return spark
-
-
 def get_session(app: str = "plotwise", **settings: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     for key, value in {**DEFAULTS, **settings}.items():
         builder = builder.config(key, value)
-    return tune(builder.getOrCreate())
+    return builder.getOrCreate()
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -68,5 +54,25 @@ def staged(df: DataFrame, name: str = "stage") -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    if not _STAGED:
+        atexit.register(drop_staged, spark)
+    _STAGED.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+_STAGED: list[str] = []
+
+
+def drop_staged(spark: SparkSession) -> None:
+    """Delete the tables staged by this process so far; tables read from them must not be used any more.
+
+    Called when the driver ends. A service that runs many jobs calls it between them.
+    """
+    while _STAGED:
+        path = _STAGED.pop()
+        try:
+            path = spark._jvm.org.apache.hadoop.fs.Path(path)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        except Exception:  # noqa: BLE001  the JVM may be gone by now
+            _STAGED.clear()

@@ -6,8 +6,6 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plotwise.session import tune
-
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -15,7 +13,7 @@ ORACLES: dict[str, str] = {}
 def query(name: str, sql: str | None = None):
     """Register a query; without SQL only its rows can be checked."""
     def register(fn):
-        QUERIES[name] = lambda spark, folder: fn(tune(spark), folder)
+        QUERIES[name] = fn
         if sql is not None:
             ORACLES[name] = sql
         return fn
