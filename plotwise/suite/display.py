@@ -60,10 +60,10 @@ def search_literal(spark, d):
 
 @query("sort_nulls", f"""
     SELECT id, property_type, area_sqm FROM {_LISTINGS} ORDER BY area_sqm ASC NULLS LAST, id
-    LIMIT 200 OFFSET (SELECT CAST((floor(count(*) / 200.0) - 1) * 200 AS BIGINT) FROM part)""")
+    LIMIT 200 OFFSET (SELECT CAST(greatest(0, (ceil(count(*) / 200.0) - 1) * 200) AS BIGINT) FROM part)""")
 def sort_nulls(spark, d):
     # The last page: missing areas come after all others.
-    last = table(spark, d, "part").count() // 200
+    last = -(-table(spark, d, "part").count() // 200)
     return paging.page(listings(spark, d), page=last, per_page=200, sort_by="area_sqm",
                        columns=["id", "property_type", "area_sqm"])
 
