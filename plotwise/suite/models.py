@@ -131,7 +131,7 @@ def scored_homes(spark, d):
 
 # Every row is scored by the best of the three models; the texts follow from the price.
 @query("batch_score", f"""
-    SELECT id, area_sqm, zone, TRUE AS priced, TRUE AS text_fits, TRUE AS info_fits FROM {raw_sql('orders', RAW_HOMES)}""")
+    SELECT id, coalesce(area_sqm, 50) AS area_sqm, zone, TRUE AS priced, TRUE AS text_fits, TRUE AS info_fits FROM {raw_sql('orders', RAW_HOMES)}""")
 def batch_score(spark, d):
     price = F.col("predicted_price")
     return scored_homes(spark, d).select(
