@@ -25,7 +25,7 @@ from plotwise.llm.common import columns, records, ship, slices
 
 ORDERS, BITS = (3, 4, 5), 20
 PER_LABEL = 5_000
-FEATURES = 20_000
+FEATURES = 4_096
 ROUNDS, PENALTY = 200, 3e-3
 
 
@@ -145,7 +145,7 @@ def learn(docs: DataFrame, labels: DataFrame, learnable: Column | None = None, l
     table = table.sort_by("doc_id").combine_chunks()  # sums in the same order each time
     lists = table.column("numbers").combine_chunks()
     y = np.asarray(table.column("label")).astype(np.float64)
-    rows = np.repeat(np.arange(len(y)), np.diff(np.asarray(lists.offsets)))
+    rows = np.repeat(np.arange(len(y), dtype=np.int32), np.diff(np.asarray(lists.offsets)))
     weight = np.where(y == 1, frequency[1] / documents[1], frequency[0] / documents[0])
     w, constant = fit(rows, np.asarray(lists.flatten()), y, weight, scale)
     return Model(feature, w * scale, constant)
