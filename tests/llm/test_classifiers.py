@@ -139,3 +139,23 @@ def test_accepted_keeps_clean_rows_and_columns(labelled, odd, empty):
     assert langid.accepted(empty, model).collect() == []
     nothing = langid.learn(empty)
     assert {r["lang_pred"] for r in langid.identify(odd, nothing).collect()} == {"und"}
+
+
+def test_unlearned_languages_and_gibberish_are_rejected(labelled):
+    docs, _, rows, truth = labelled
+    rng = random.Random(4)
+    foreign = [" ".join("".join(rng.choices(letters, k=rng.randint(3, 9))) for _ in range(rng.randint(5, 60)))
+               for letters in ("абвгдежзиклмноп", "的一是不了人我在有他这", "αβγδεζηθικλμ", "bcdfghjklmnpqrstvwxz") for _ in range(50)]
+    for some in (["en", "de", "fr"], ["en", "fr"], ["de"]):
+        learned = docs.filter(F.col("lang").isin(some))
+        model = langid.learn(learned, learnable=remainder(F.col("doc_id")) != 2)
+        assert model.languages == sorted(some) and model.predict(pa.array(foreign))[2].all()
+        clean = [t for i, t, lang, _ in rows if i in truth and lang in some and zlib.crc32(str(i).encode()) % 4 == 2]
+        assert not model.predict(pa.array(clean))[2].any()
+    unlearned = [t for i, t, lang, _ in rows if i in truth and lang in ("en", "fr")]
+    assert model.predict(pa.array(unlearned))[2].all()
+
+
+def test_no_floor_without_held_out_texts(make):
+    model = langid.learn(make([(i, "the house", "en", "a") for i in range(5)]))
+    assert model.floors is None and model.predict(pa.array(["the house", None]))[2].tolist() == [False, True]
