@@ -3,7 +3,8 @@
 A word's subwords are its n-grams of letters, with blanks as the word's ends. A text is the
 average of its subwords' vectors, and a linear softmax over that average gives a probability
 per language; both are trained by stochastic gradient descent. Learning takes at most
-``PER_LANGUAGE`` documents of each language, by a hash of their ids, and ``DRAWN`` seeded
+``PER_LANGUAGE`` different documents of each language, by a hash of their ids
+(``learning.sample_texts``; a text that repeats teaches its language once), and ``DRAWN`` seeded
 draws of subwords from each whole text. A part of these ids is held out, to calibrate: one
 temperature that makes the probabilities honest, and a confidence below which a text is
 rejected as standing between learned languages.
@@ -257,8 +258,8 @@ def learn(docs: DataFrame, learnable: Column | None = None, language: str = "lan
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
     # An id that repeats under another language is learned under its own rows' language only.
     texts = docs.select("doc_id", "text", F.col("label").alias("own"))
-    sample = learning.sample_texts(texts.withColumn("text", F.when(F.col("own").isNotNull(), F.col("text"))), chosen, F.col("text"), "languages")
-    sample = sample.filter("text is not null").withColumn("held", F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id"), F.lit(5)) == 0)
+    sample = learning.sample_texts(texts.withColumn("text", F.when(F.col("own").isNotNull(), F.col("text"))), chosen, F.col("text"), "languages", "label", per_language, seed)
+    sample = sample.withColumn("held", F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id"), F.lit(5)) == 0)
     table = draws(sample, seed)
     full = np.asarray(table.column("buckets").combine_chunks().value_lengths()) == DRAWN
     table = table.filter(pa.array(full)).combine_chunks()

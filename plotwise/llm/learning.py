@@ -1,4 +1,7 @@
-"""Bounded samples of labelled rows, the same way for all classifiers."""
+"""Bounded samples of labelled rows, the same way for all classifiers.
+
+A sample has at most a fixed number of rows of each label, however often rows or ids repeat.
+"""
 
 from __future__ import annotations
 
@@ -19,10 +22,26 @@ def pick(rows: DataFrame, label: str, per_label: int, seed: int) -> DataFrame:
     return ranked.filter(F.col("place") <= per_label).drop("place")
 
 
-def sample_texts(docs: DataFrame, chosen: DataFrame, text: Column, name: str) -> DataFrame:
-    """Texts of the chosen ids with their other columns, written down in a few parts.
+def sample_texts(docs: DataFrame, chosen: DataFrame, text: Column, name: str, label: str, rows: int, seed: int) -> DataFrame:
+    """Different texts of the chosen ids with the columns of ``chosen`` and ``copies``, written down in a few parts.
 
+    At most ``rows`` of each label: first one text of each id, then a second of those that have
+    one, and so on, by hashes. ``copies`` says for how many rows a text stands; texts that find
+    no room are stood for by the others of their id, in equal parts of what these have.
     ``chosen`` has a bounded number of rows, so it is broadcast.
     """
+    keys = [c for c in chosen.columns if c != "doc_id"]
     texts = docs.select(F.col("doc_id").alias("doc_id"), text.alias("text"))
-    return staged(texts.join(F.broadcast(chosen), "doc_id").repartition(PARTS), name)
+    found = texts.join(F.broadcast(chosen), "doc_id").filter("text is not null")
+    found = found.groupBy("doc_id", *keys, F.sha2("text", 256).alias("hash")).agg(F.first("text").alias("text"), F.count("*").alias("copies"))
+    # Each task keeps no more than the bound before either exchange.
+    turns = found.withColumn("turn", F.row_number().over(W.partitionBy("doc_id", label).orderBy("hash"))).filter(F.col("turn") <= rows)
+    order = F.xxhash64(F.lit(seed), "doc_id")
+    kept = turns.withColumn("place", F.row_number().over(W.partitionBy(label).orderBy("turn", order, "doc_id"))).filter(F.col("place") <= rows)
+    kept = staged(kept.select("doc_id", *keys, "text", "copies").repartition(PARTS), name)
+    every = texts.join(F.broadcast(chosen), "doc_id").filter("text is not null").groupBy("doc_id", label).agg(F.count("*").alias("all"))
+    stand = kept.groupBy("doc_id", label).agg(F.sum("copies").alias("some"))
+    share = staged(every.join(F.broadcast(stand), ["doc_id", label]).filter(F.col("all") > F.col("some")), name)
+    scaled = kept.join(F.broadcast(share), ["doc_id", label], "left")
+    copies = F.coalesce(F.round(F.col("copies") * F.col("all") / F.col("some")).cast("long"), "copies")
+    return scaled.select(*[copies.alias(c) if c == "copies" else c for c in kept.columns])

@@ -4,8 +4,8 @@ An n-gram counts once per document. Log-count ratios between toxic and other doc
 counted over hashed n-grams; those whose ratio is surest become features, each with its
 ratio as its value, and a regularised logistic regression is fitted on them.
 
-Learning takes at most ``PER_LABEL`` rows of each label, by a hash of their ids, and weighs
-them so that the labels are as frequent as in all labelled rows; the score is then the
+Learning takes at most ``PER_LABEL`` different rows of each label, by a hash of their ids
+(``learning.sample_texts``); each counts as often as it repeats. It weighs them so that the labels are as frequent as in all labelled rows; the score is then the
 probability of label 1. Scoring covers whole texts. Null and empty texts have no n-gram and
 get the model's base rate. Repeated rows are scored alike. Without rows of both labels, the
 score is the share of label 1, or 0.
@@ -43,21 +43,21 @@ def present(texts: pa.Array, of: np.ndarray | None = None) -> tuple[np.ndarray,
 
 
 def document_counts(sample: DataFrame) -> np.ndarray:
-    """For label 0 and 1, the documents that hold each bucket's n-grams. Each part sends one message of fixed size."""
+    """For label 0 and 1, the documents (with their copies) that hold each bucket's n-grams. Each part sends one message of fixed size."""
     layout = pa.schema([("counts", pa.binary())])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((2, 1 << BITS), np.uint16)
+        total = np.zeros((2, 1 << BITS), np.int64)
         for batch in slices(batches):
             row, bucket = present(batch.column("text"))
-            label = np.asarray(batch.column("label"))[row]
+            label, copies = np.asarray(batch.column("label"))[row], np.asarray(batch.column("copies"))[row]
             for k in (0, 1):
-                total[k] += np.bincount(bucket[label == k], minlength=1 << BITS).astype(np.uint16)
+                total[k] += np.bincount(bucket[label == k], copies[label == k], 1 << BITS).astype(np.int64)
         yield records({"counts": [total.tobytes()]}, layout)
 
     out = np.zeros((2, 1 << BITS), np.int64)
     for part in sample.mapInArrow(count, "counts binary").toLocalIterator():
-        out += np.frombuffer(part["counts"], np.uint16).reshape(2, -1)
+        out += np.frombuffer(part["counts"], np.int64).reshape(2, -1)
     return out
 
 
@@ -121,9 +121,9 @@ def learn(docs: DataFrame, labels: DataFrame, learnable: Column | None = None, l
         share = np.clip(frequency.get(1, 0) / total if total else 0.0, 1e-9, 1 - 1e-9)
         return Model(none, np.zeros(1), float(np.log(share / (1 - share))))
     chosen = learning.pick(marked, "label", per_label, seed)
-    sample = learning.sample_texts(columns(docs, doc_id=id_column, text=text_column), chosen, F.col("text").cast("string"), "toxicity")
+    sample = learning.sample_texts(columns(docs, doc_id=id_column, text=text_column), chosen, F.coalesce(F.col("text").cast("string"), F.lit("")), "toxicity", "label", per_label, seed)
     sample = sample.withColumn("doc_id", F.col("doc_id").cast("long"))
-    sizes = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    sizes = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.sum("copies").alias("n")).collect()}
     documents = np.array([sizes.get(0, 0), sizes.get(1, 0)])
     if not documents.all():
         return Model(none, np.zeros(1), -20.0 if documents[0] else 20.0)
@@ -133,20 +133,20 @@ def learn(docs: DataFrame, labels: DataFrame, learnable: Column | None = None, l
     feature[best] = np.arange(len(best))
     scale = ratio[best]
     shared = sample.sparkSession.sparkContext.broadcast(feature)
-    layout = pa.schema([("doc_id", pa.int64()), ("label", pa.int32()), ("numbers", pa.list_(pa.int32()))])
+    layout = pa.schema([("doc_id", pa.int64()), ("label", pa.int32()), ("copies", pa.int64()), ("hash", pa.int64()), ("numbers", pa.list_(pa.int32()))])
 
     def numbers_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             row, number = present(batch.column("text"), shared.value)
             ends = np.searchsorted(row, np.arange(batch.num_rows + 1)).astype(np.int32)
-            yield records({"doc_id": batch.column("doc_id"), "label": batch.column("label"), "numbers": pa.ListArray.from_arrays(ends, number.astype(np.int32))}, layout)
+            yield records({**{c: batch.column(c) for c in ("doc_id", "label", "copies", "hash")}, "numbers": pa.ListArray.from_arrays(ends, number.astype(np.int32))}, layout)
 
-    table = sample.mapInArrow(numbers_of, "doc_id long, label int, numbers array<int>").toArrow()
-    table = table.sort_by("doc_id").combine_chunks()  # sums in the same order each time
+    table = sample.withColumn("hash", F.xxhash64("text")).mapInArrow(numbers_of, "doc_id long, label int, copies long, hash long, numbers array<int>").toArrow()
+    table = table.sort_by([("doc_id", "ascending"), ("hash", "ascending")]).combine_chunks()  # sums in the same order each time
     lists = table.column("numbers").combine_chunks()
     y = np.asarray(table.column("label")).astype(np.float64)
     rows = np.repeat(np.arange(len(y), dtype=np.int32), np.diff(np.asarray(lists.offsets)))
-    weight = np.where(y == 1, frequency[1] / documents[1], frequency[0] / documents[0])
+    weight = np.where(y == 1, frequency[1] / documents[1], frequency[0] / documents[0]) * np.asarray(table.column("copies"))
     w, constant = fit(rows, np.asarray(lists.flatten()), y, weight, scale)
     return Model(feature, w * scale, constant)
 

@@ -6,7 +6,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from plotwise.llm import langid, ngrams, toxicity
+from plotwise.llm import langid, learning, ngrams, toxicity
 from plotwise.llm.common import remainder
 
 WORDS = {"en": ["the", "and", "house", "with", "thing", "water"], "de": ["und", "der", "haus", "schön", "wasser", "nicht"], "fr": ["le", "être", "maison", "avec", "leçon", "eau"]}
@@ -159,3 +159,27 @@ def test_unlearned_languages_and_gibberish_are_rejected(labelled):
 def test_no_floor_without_held_out_texts(make):
     model = langid.learn(make([(i, "the house", "en", "a") for i in range(5)]))
     assert model.floors is None and model.predict(pa.array(["the house", None]))[2].tolist() == [False, True]
+
+
+def test_samples_are_bounded_in_rows(make, spark):
+    rows = [(1, "same", "en", "a")] * 3000 + [(2, f"text {i}", "en", "a") for i in range(300)] + [(i, f"own {i}", "en", "a") for i in range(3, 40)]
+    chosen = spark.createDataFrame([(i, 1) for i in range(1, 40)], "doc_id long, label int")
+    got = learning.sample_texts(make(rows), chosen, F.col("text"), "few", "label", 50, 3).collect()
+    assert len(got) == 50 and {r["doc_id"] for r in got} == set(range(1, 40))
+    assert [r["copies"] for r in got if r["doc_id"] == 1] == [3000] and sum(r["copies"] for r in got if r["doc_id"] == 2) == 300
+    whole = learning.sample_texts(make(rows), chosen, F.col("text"), "all", "label", 5000, 3).collect()
+    assert len(whole) == 338 and sum(r["copies"] for r in whole) == len(rows)
+
+
+def test_document_counts_above_two_bytes(spark):
+    sample = spark.createDataFrame([("abc abc", 1, 70_000), ("abc", 1, 2), ("abc", 0, 5)], "text string, label int, copies long")
+    counts = toxicity.document_counts(sample)
+    assert counts[1].max() == 70_002 and counts[0].max() == 5
+
+
+def test_repeated_rows_count_as_often_as_they_occur(labelled, make):
+    docs, labels, rows, _ = labelled
+    once = toxicity.learn(docs, labels)
+    twice = toxicity.learn(docs.unionAll(docs), labels)
+    texts = pa.array([t for _, t, _, _ in rows[:50]])
+    assert np.allclose(once.scores(texts), twice.scores(texts), atol=0.05)
