@@ -12,9 +12,11 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 import plotwise
+from plotwise.session import staged
 
 #: Bytes of text that one vectorised step works on, so that a task's memory stays flat.
 SLICE_BYTES = 4 << 20
@@ -95,6 +97,16 @@ def remainder(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 4
 
 
+def numbered(rows: DataFrame, *order: str) -> DataFrame:
+    """Rows with ``number``, from 0 in ascending order: counts of range partitions, not one task, give the start of each."""
+    ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("spot", F.monotonically_increasing_id())
+    ranged = staged(ranged.withColumn("part", F.shiftright("spot", 33)), "numbered")
+    before = W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)
+    parts = ranged.groupBy("part").agg(F.count("*").alias("rows"), F.min("spot").alias("first"))  # a row per partition
+    starts = parts.select("part", (F.coalesce(F.sum("rows").over(before), F.lit(0)) - F.col("first")).alias("shift"))
+    return ranged.join(F.broadcast(starts), "part").select(*rows.columns, (F.col("spot") + F.col("shift")).alias("number"))
+
+
 def records(rows: dict, schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(rows[f.name], f.type) for f in schema], schema=schema)
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plotwise.llm import arc, idfile, langid, mixing, neardup, packing, quality, secrets, topk, toxicity
+from plotwise.llm import arc, idfile, langid, merkle, mixing, neardup, packing, quality, secrets, topk, toxicity
 from plotwise.llm.common import remainder, ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -125,3 +125,68 @@ def op7_language(spark: SparkSession, folder: str) -> DataFrame:
 def op5_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     """Components of documents whose sets of 3-word shingles are similar to 85 % or more."""
     return neardup.near_duplicates(table(spark, folder, "documents"), size=3, percent=85)
+
+
+@query
+def op12_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    """Proofs of all documents; half of them are found without their line breaks."""
+    docs = table(spark, folder, "documents")
+    touched = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 2 == 0
+    found = {"text": F.when(touched, F.replace(F.col("text"), F.lit("\n"), F.lit(""))).otherwise(F.col("text"))}
+    proofs = merkle.manifest(docs, ["doc_id", "source", "lang", "n_chars", "text"], found=found)
+    return proofs.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+def _written(value: str) -> str:
+    return f"coalesce(strlen(CAST({value} AS VARCHAR)) || ':' || CAST({value} AS VARCHAR), '-')"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(_written(v) for v in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+# The last bit of crc32, with its polynomial reversed, over the decimal digits of an id.
+_CRC = """list_reduce(list_transform(string_split(coalesce(CAST(doc_id AS VARCHAR), ''), ''), lambda c: CAST(ord(c) AS BIGINT)),
+  lambda crc, byte: list_reduce([xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, i: xor(x >> 1, 3988292384 * (x & 1))), 4294967295)"""
+
+ORACLES["op12_merkle"] = f"""
+WITH RECURSIVE leaves AS (
+  SELECT row_number() OVER () AS row_id, doc_id, source, {_leaf("text")} AS leaf,
+         {_leaf(f"CASE WHEN (4294967295 - {_CRC}) % 2 = 0 THEN replace(text, chr(10), '') ELSE text END")} AS now
+  FROM documents),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf, row_id) - 1 AS slot FROM leaves),
+nodes AS (
+  SELECT 0 AS level, source, slot, leaf AS digest, count(*) OVER (PARTITION BY source) AS n FROM placed
+  UNION ALL
+  SELECT level + 1, source, slot // 3, sha256(string_agg(digest, '' ORDER BY slot)), (n + 2) // 3
+  FROM nodes WHERE n > 1 GROUP BY level, source, slot // 3, n),
+groups AS (
+  SELECT source, digest, row_number() OVER (ORDER BY CAST(source AS BLOB) NULLS FIRST) - 1 AS slot, count(*) OVER () AS n FROM nodes WHERE n = 1),
+over_groups AS (
+  SELECT 0 AS level, slot, digest, n FROM groups
+  UNION ALL
+  SELECT level + 1, slot // 3, sha256(string_agg(digest, '' ORDER BY slot)), (n + 2) // 3
+  FROM over_groups WHERE n > 1 GROUP BY level, slot // 3, n),
+climb AS (
+  SELECT row_id, p.doc_id, p.source, p.leaf, p.slot, CAST(0 AS BIGINT) AS level, FALSE AS outer_tree, p.now AS folded, '' AS path, n.n
+  FROM placed p JOIN nodes n ON n.level = 0 AND n.source IS NOT DISTINCT FROM p.source AND n.slot = p.slot
+  UNION ALL
+  (WITH all_nodes AS (
+     SELECT FALSE AS outer_tree, level, source, slot, digest FROM nodes
+     UNION ALL SELECT TRUE, level, NULL, slot, digest FROM over_groups)
+   SELECT c.row_id, any_value(c.doc_id), any_value(c.source), any_value(c.leaf), any_value(c.slot) // 3, any_value(c.level) + 1, any_value(c.outer_tree),
+          sha256(string_agg(CASE WHEN a.slot = c.slot THEN c.folded ELSE a.digest END, '' ORDER BY a.slot)),
+          any_value(c.path) || coalesce(string_agg(a.digest, '' ORDER BY a.slot) FILTER (a.slot <> c.slot), ''), (any_value(c.n) + 2) // 3
+   FROM climb c JOIN all_nodes a ON a.outer_tree = c.outer_tree AND a.level = c.level AND a.slot // 3 = c.slot // 3
+        AND (c.outer_tree OR a.source IS NOT DISTINCT FROM c.source)
+   WHERE c.n > 1 GROUP BY c.row_id
+   UNION ALL
+   SELECT c.row_id, c.doc_id, c.source, c.leaf, g.slot, 0, TRUE, c.folded, c.path, g.n
+   FROM climb c JOIN groups g ON g.source IS NOT DISTINCT FROM c.source
+   WHERE c.n = 1 AND NOT c.outer_tree)),
+tops AS (SELECT digest FROM over_groups WHERE n = 1)
+SELECT c.doc_id, c.leaf, g.digest AS subroot, t.digest AS root, sha256(c.path) AS proof_sha256, c.folded AS folded_root, c.folded = t.digest AS verified
+FROM climb c JOIN groups g ON g.source IS NOT DISTINCT FROM c.source CROSS JOIN tops t
+WHERE c.outer_tree AND c.n = 1
+"""
