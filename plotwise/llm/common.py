@@ -92,9 +92,9 @@ def segment_sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return total[offsets[1:]] - total[offsets[:-1]]
 
 
-def remainder(doc_id: Column) -> Column:
-    """crc32 of an id's text, modulo 4: the split into learning and held-out rows; null ids as empty text."""
-    return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 4
+def remainder(doc_id: Column, parts: int = 4) -> Column:
+    """crc32 of an id's text, modulo ``parts``: the split into learning and held-out rows; null ids as empty text."""
+    return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % parts
 
 
 def numbered(rows: DataFrame, *order: str) -> DataFrame:

@@ -246,7 +246,7 @@ def manifest(docs: DataFrame, fields: list[str], id_column: str = "doc_id", grou
     nodes = reduce(runs.select("tree", "slot", "copies", "digest"), sizes, max(most, 1))
 
     groups = staged(numbered(nodes[-1].select(F.col("tree").alias("of"), "digest"), "of"), "groups")
-    subroots = groups.select(F.lit("").alias("tree"), F.col("number").alias("slot"), F.lit(1).cast("long").alias("copies"), "digest")
+    subroots = staged(groups.select(F.lit("").alias("tree"), F.col("number").alias("slot"), F.lit(1).cast("long").alias("copies"), "digest"), "subroots")
     total = groups.count()
     over = staged(sized(subroots.groupBy("tree").agg(F.count("*").alias("n"))), "sizes")
     roots = reduce(subroots, over, max((over.first() or [0, 0, 0])[2], 1))

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plotwise.llm import arc, idfile, langid, merkle, mixing, neardup, packing, quality, secrets, topk, toxicity
+from plotwise.llm import arc, ctw, idfile, langid, merkle, mixing, neardup, packing, quality, secrets, topk, toxicity
 from plotwise.llm.common import remainder, ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -137,6 +137,14 @@ def op12_merkle(spark: SparkSession, folder: str) -> DataFrame:
     return proofs.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
 
 
+@query
+def op13_lm_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Log probabilities of every document; rows whose crc32 leaves remainder 2 modulo 7 are not learned from."""
+    scored = ctw.score(table(spark, folder, "documents"), remainder(F.col("doc_id"), 7) != 2)
+    return scored.select("doc_id", (remainder(F.col("doc_id"), 7) == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens",
+                         "base_score", "score", "bits_per_byte")
+
+
 def _written(value: str) -> str:
     return f"coalesce(strlen(CAST({value} AS VARCHAR)) || ':' || CAST({value} AS VARCHAR), '-')"
 
