@@ -46,7 +46,7 @@ def ensure_checkpoints(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(shared_folder(spark))
 
 
-def staged(df: DataFrame, name: str = "stage") -> DataFrame:
+def staged(df: DataFrame, name: str = "stage", compression: str | None = None) -> DataFrame:
     """Write a table once and read it back.
 
     For inputs that several passes read: the lineage is cut, later passes prune
@@ -57,7 +57,7 @@ def staged(df: DataFrame, name: str = "stage") -> DataFrame:
     if not _STAGED:
         atexit.register(drop_staged, spark)
     _STAGED.append(path)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 
