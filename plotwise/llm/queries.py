@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plotwise.llm import arc, ctw, idfile, langid, merkle, mixing, neardup, packing, quality, secrets, topk, toxicity
+from plotwise.llm import alignment, arc, ctw, idfile, langid, merkle, mixing, neardup, packing, quality, secrets, topk, toxicity
 from plotwise.llm.common import remainder, ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -137,6 +137,13 @@ def op12_merkle(spark: SparkSession, folder: str) -> DataFrame:
     return proofs.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
 
 
+@query
+def op11_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    """Two tokenizers' tokens of every document, aligned by bytes and counted over the corpus."""
+    found = alignment.alignment(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 @query
 def op13_lm_scores(spark: SparkSession, folder: str) -> DataFrame:
     """Log probabilities of every document; rows whose crc32 leaves remainder 2 modulo 7 are not learned from."""

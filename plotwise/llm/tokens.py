@@ -18,10 +18,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Parts that a worker remembers; at this number it starts anew. About 250 bytes each.
-PARTS = 500_000
+#: Bytes that an encoder may remember, by estimate; then it starts anew. A part's text, number and ids; a word's text and list.
+MEMORY, PART_BYTES, WORD_BYTES = 64 << 20, 180, 220
 
-_LOADED: dict[str, "Encoder"] = {}
+_LOADED: dict[tuple, "Parts"] = {}
 
 CUT, BLANK = "\x00", "\u0120"
 #: White space next to white space, or a character that marks cuts.
@@ -53,73 +53,44 @@ def byte_letters() -> dict[int, int]:
     return dict(zip(plain, plain, strict=True)) | {b: 256 + i for i, b in enumerate(rest)}
 
 
-def encoder(path: str) -> "Encoder":
-    """The worker's encoder of a vocabulary file."""
-    if path not in _LOADED:
-        _LOADED[path] = Encoder(path)
-    return _LOADED[path]
+def encoder(path: str, special: bool = True) -> "Encoder":
+    """The worker's encoder of a vocabulary file; ``special`` tells whether a text may hold special tokens."""
+    if (path, special) not in _LOADED:
+        _LOADED[path, special] = Encoder(path, special)
+    return _LOADED[path, special]
 
 
-class Encoder:
-    def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-        self.tokenizer = Tokenizer.from_file(path)
-        kind = json.loads(self.tokenizer.to_str())
-        self.words = SPLITS.get(json.dumps([kind["normalizer"], kind["pre_tokenizer"]], sort_keys=True))
-        self.fold = kind["normalizer"] is not None
-        self.byte, self.model = byte_letters(), self.tokenizer.model.tokenize
-        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.unsafe = "|".join([UNSAFE, *("\\Q" + s + "\\E" for s in special)])
+def piece_encoder(path: str) -> "PieceEncoder":
+    """The worker's encoder of a sentencepiece model."""
+    if (path,) not in _LOADED:
+        _LOADED[path,] = PieceEncoder(path)
+    return _LOADED[path,]
+
+
+class Parts:
+    """Ids of texts, put together from parts that are encoded once. Used in a ``with`` block, it forgets them at its end."""
+
+    unsafe = UNSAFE
+
+    def __enter__(self):
+        return self
+
+    def __exit__(self, *_) -> None:
         self.forget()
 
     def forget(self) -> None:
         self.known: dict[str, int] = {}
-        self.known_words: dict[str, list[int]] = {}
         self.starts = np.zeros(1024, np.int64)
         self.sizes = np.zeros(1024, np.int32)
         self.ids = np.zeros(4096, np.uint32)
-        self.used = 0
+        self.used = self.cost = 0
 
     def plain(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        """Ids of whole texts, by the library alone."""
+        raise NotImplementedError
 
     def ids_of(self, parts: list[str]) -> list[list[int]]:
-        """Ids of parts. Where the vocabulary's own splitting is known, only its model runs, once per word."""
-        if self.words is None:
-            return self.plain(parts)
-        out: list[list[int]] = []
-        late: list[tuple[int, str]] = []
-        add, known, alien, one = out.append, self.known_words, ALIEN.search, self.one
-        for part in parts:
-            plain = part.isascii()
-            if not plain and alien(part):
-                late.append((len(out), part))
-                add([])
-                continue
-            if self.fold:
-                part = part.lower().strip(" ")
-            if (part[1:] if part[:1] == " " else part).isalpha():  # a word by itself
-                add(known.get(part) or one(part, plain))
-                continue
-            ids: list[int] = []
-            for word in self.words(part):
-                got = known.get(word)
-                if got is None:
-                    got = known[word] = one(word, plain)
-                ids += got
-            add(ids)
-        for (place, _), ids in zip(late, self.plain([p for _, p in late]) if late else [], strict=True):
-            out[place] = ids
-        return out
-
-    def one(self, word: str, plain: bool) -> list[int]:
-        """Ids of one word, as the vocabulary's model sees it."""
-        if plain and word.isprintable():
-            word = word.replace(" ", BLANK)
-        else:
-            word = word.encode().decode("latin-1").translate(self.byte)
-        return [t.id for t in self.model(word)]
+        raise NotImplementedError
 
     def learn(self, parts: list[str]) -> None:
         found = self.ids_of(parts)
@@ -135,6 +106,7 @@ class Encoder:
         self.ids[self.used:self.used + len(ids)] = ids
         self.used += len(ids)
         self.known.update(zip(parts, range(first, first + len(parts)), strict=True))
+        self.cost += PART_BYTES * len(parts) + sum(map(len, parts)) + 4 * len(ids)
 
     def by_parts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         cut = pc.replace_substring(texts, " ", CUT + " ")
@@ -146,7 +118,7 @@ class Encoder:
         found = list(map(self.known.get, distinct))
         new = [p for p, at in zip(distinct, found, strict=True) if at is None]
         if new:
-            if len(self.known) + len(new) > PARTS:
+            if self.cost > MEMORY:
                 self.forget()
                 new = distinct
             self.learn(new)
@@ -173,3 +145,103 @@ class Encoder:
         rare = iter(rare)
         each = [next(rare) if w else next(rest) for w in whole]
         return np.concatenate([[0], np.cumsum([len(x) for x in each])]).astype(np.int64), np.concatenate(each)
+
+
+class Encoder(Parts):
+    """A vocabulary of the tokenizers library."""
+
+    def __init__(self, path: str, special: bool = True):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+        self.tokenizer = Tokenizer.from_file(path)
+        kind = json.loads(self.tokenizer.to_str())
+        self.words = SPLITS.get(json.dumps([kind["normalizer"], kind["pre_tokenizer"]], sort_keys=True))
+        self.fold = kind["normalizer"] is not None
+        self.byte, self.model = byte_letters(), self.tokenizer.model.tokenize
+        if special:
+            names = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+            self.unsafe = "|".join([UNSAFE, *("\\Q" + s + "\\E" for s in names)])
+        else:
+            self.tokenizer.encode_special_tokens = True
+        self.forget()
+
+    def forget(self) -> None:
+        super().forget()
+        self.known_words: dict[str, list[int]] = {}
+
+    def token_bytes(self) -> list[bytes]:
+        """The bytes that each id stands for, in a byte-level vocabulary."""
+        letters = {chr(letter): byte for byte, letter in self.byte.items()}
+        names = [self.tokenizer.id_to_token(i) or "" for i in range(self.tokenizer.get_vocab_size())]
+        return [bytes(letters[c] for c in name) if all(c in letters for c in name) else name.encode() for name in names]
+
+    def plain(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def ids_of(self, parts: list[str]) -> list[list[int]]:
+        """Ids of parts. Where the vocabulary's own splitting is known, only its model runs, once per word."""
+        if self.words is None:
+            return self.plain(parts)
+        out: list[list[int]] = []
+        late: list[tuple[int, str]] = []
+        add, known, alien, one = out.append, self.known_words, ALIEN.search, self.one
+        for part in parts:
+            plain = part.isascii()
+            if not plain and alien(part):
+                late.append((len(out), part))
+                add([])
+                continue
+            if self.fold:
+                part = part.lower().strip(" ")
+            if (part[1:] if part[:1] == " " else part).isalpha():  # a word by itself
+                add(known.get(part) or one(part, plain))
+                continue
+            ids: list[int] = []
+            for word in self.words(part):
+                got = known.get(word)
+                if got is None:
+                    got = known[word] = one(word, plain)
+                    self.cost += WORD_BYTES + len(word)
+                ids += got
+            add(ids)
+        for (place, _), ids in zip(late, self.plain([p for _, p in late]) if late else [], strict=True):
+            out[place] = ids
+        return out
+
+    def one(self, word: str, plain: bool) -> list[int]:
+        """Ids of one word, as the vocabulary's model sees it."""
+        if plain and word.isprintable():
+            word = word.replace(" ", BLANK)
+        else:
+            word = word.encode().decode("latin-1").translate(self.byte)
+        return [t.id for t in self.model(word)]
+
+
+class PieceEncoder(Parts):
+    """A sentencepiece model that adds a blank before a text and keeps all white space.
+
+    No piece goes on over a blank or holds a line break, so parts can be encoded by themselves:
+    behind a line break, where no blank is added. Other models encode whole texts.
+    """
+
+    def __init__(self, path: str):
+        from sentencepiece import SentencePieceProcessor
+        self.model = SentencePieceProcessor(model_file=path)
+        pieces = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
+        self.head, self.unsafe = self.model.encode("\n", num_threads=1), UNSAFE + "|\u2581"  # a blank by its other name
+        if len(self.head) != 2 or any("\u2581" in p.lstrip("\u2581") or "\n" in p for p in pieces):
+            self.unsafe = ""  # found in every text
+        self.forget()
+
+    def token_bytes(self) -> list[bytes]:
+        model = self.model
+        names = [(i, model.id_to_piece(i)) for i in range(model.get_piece_size())]
+        return [bytes([int(name[3:5], 16)]) if model.is_byte(i) else name.replace("\u2581", " ").encode() for i, name in names]
+
+    def plain(self, texts: list[str]) -> list[list[int]]:
+        """Ids of texts that begin with the blank which the model itself adds."""
+        return self.model.encode([t[1:] if t[:1] == " " else t for t in texts], num_threads=1)
+
+    def ids_of(self, parts: list[str]) -> list[list[int]]:
+        skip = len(self.head)
+        return [ids[skip:] for ids in self.model.encode(["\n" + p for p in parts], num_threads=1)]
