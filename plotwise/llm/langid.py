@@ -39,7 +39,11 @@ from plotwise.operators.sizes import small_or_none
 ORDERS, BITS, DIMENSIONS = (1, 2, 3, 4), 16, 16
 PER_LANGUAGE, MAX_LANGUAGES = 1_000, 500
 DRAWN, SHORT = 256, 32
-EPOCHS, RATE, BATCH = 4, 0.5, 32
+RATE, BATCH = 0.5, 32
+#: Steps of a round, rounds at most, and the mean loss that is enough.
+STEPS, ROUNDS, TAUGHT = 250, 12, 0.02
+#: Bytes of text that are scored at once.
+SCORED_BYTES = 1 << 20
 #: Subwords of one word that may be new in a text, and the least and most that they count as of the text.
 NEW, LEAST_NEW, MOST_NEW = 32, 0.05, 0.5
 #: Part of the texts in a learned language that may be rejected as unfamiliar, lengths of pieces to set the floors on, and the least held-out texts with a deviation of their own.
@@ -64,6 +68,28 @@ def subwords(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarr
             yield bucket, ~inner[:len(bucket)], *ngrams.places(offsets, n)
 
 
+def parts_of(texts: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each order, the buckets of all subwords in a row, and how many each text has."""
+    out = []
+    for bucket, use, first, end in subwords(texts):
+        used = np.concatenate([[0], np.cumsum(use)])
+        inside = np.zeros(len(bucket) + 1, np.int8)
+        np.add.at(inside, np.minimum(first, len(bucket)), 1)
+        np.add.at(inside, np.minimum(end, len(bucket)), -1)
+        good = use & (np.cumsum(inside[:-1], dtype=np.int8) > 0)
+        out.append((bucket[good], used[np.minimum(end, len(bucket))] - used[np.minimum(first, len(bucket))]))
+    return out
+
+
+def sums(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Sums of runs of values, in double precision; empty runs as 0."""
+    out = np.zeros(len(sizes))
+    some = sizes > 0
+    if some.any():
+        out[some] = np.add.reduceat(values, (np.cumsum(sizes) - sizes)[some], dtype=np.float64)
+    return out
+
+
 class Model:
     """Logits and log frequency of each subword and language, the constants, temperature, least confidence and floors; fixed in size."""
 
@@ -75,30 +101,33 @@ class Model:
 
     def averages(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Mean logits of each text's subwords, and how many it has."""
-        total, count = np.zeros((len(texts), len(self.languages))), np.zeros(len(texts))
-        for bucket, use, first, end in subwords(texts):
-            count += ngrams.within(use, first, end)
+        return self.logits_of(parts_of(texts))
+
+    def logits_of(self, parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+        count = sum(sizes for _, sizes in parts)
+        total = np.zeros((len(count), len(self.languages)))
+        for bucket, sizes in parts:
             for k in range(len(self.languages)):
-                total[:, k] += ngrams.within(np.where(use, self.logits[k][bucket], 0), first, end)
+                total[:, k] += sums(self.logits[k][bucket], sizes)
         return total / np.maximum(count, 1)[:, None], count
 
     def familiarity(self, texts: pa.Array, language: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Mean log frequency of each text's subwords in its language, and how many it has."""
-        total, count = np.zeros(len(texts)), np.zeros(len(texts))
-        for bucket, use, first, end in subwords(texts):
-            count += ngrams.within(use, first, end)
-            own = np.repeat(language, np.diff(np.minimum(np.append(first, len(bucket)), len(bucket))))
-            total += ngrams.within(np.where(use, self.usual[own, bucket], 0), first, end)
+        return self.familiar(parts_of(texts), language)
+
+    def familiar(self, parts: list[tuple[np.ndarray, np.ndarray]], language: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        count = sum(sizes for _, sizes in parts)
+        total = sum(sums(self.usual[np.repeat(language, sizes), bucket], sizes) for bucket, sizes in parts)
         return total / np.maximum(count, 1), count
 
-    def unfamiliar(self, texts: pa.Array, language: np.ndarray) -> np.ndarray:
+    def unfamiliar(self, parts: list[tuple[np.ndarray, np.ndarray]], language: np.ndarray) -> np.ndarray:
         """Whether each text is less familiar than nearly all texts of its language with as many subwords."""
         if self.floors is None:
-            return np.zeros(len(texts), bool)
-        mean, count = self.familiarity(texts, language)
+            return np.zeros(len(language), bool)
+        mean, count = self.familiar(parts, language)
         sizes, least = self.floors
         at = np.log(np.maximum(count, 1))
-        floor = np.zeros(len(texts))
+        floor = np.zeros(len(language))
         for k in range(len(self.languages)):
             mine = language == k
             floor[mine] = np.interp(at[mine], sizes[k], least[k])
@@ -110,12 +139,13 @@ class Model:
         """Language, calibrated confidence and rejection of each text."""
         if not self.languages:
             return [UNKNOWN] * len(texts), np.zeros(len(texts)), np.ones(len(texts), bool)
-        mean, count = self.averages(texts)
+        parts = parts_of(texts)
+        mean, count = self.logits_of(parts)
         p = softmax((mean + self.constant) / self.temperature)
         some = count > 0
         best, confidence = p.argmax(axis=1), np.where(some, p.max(axis=1), 0.0)
         names = [self.languages[b] if s else UNKNOWN for b, s in zip(best.tolist(), some.tolist(), strict=True)]
-        return names, confidence, ~some | (confidence < self.least) | self.unfamiliar(texts, best)
+        return names, confidence, ~some | (confidence < self.least) | self.unfamiliar(parts, best)
 
 
 def softmax(x: np.ndarray) -> np.ndarray:
@@ -146,26 +176,39 @@ def draws(sample: DataFrame, seed: int) -> pa.Table:
 def train(buckets: np.ndarray, labels: np.ndarray, classes: int, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Embeddings, softmax weights and constants, by stochastic gradient descent over small batches.
 
-    Some steps see only the first ``SHORT`` draws of their texts, so that short texts are learned too.
+    A batch draws its languages evenly, then a text of each, so neither few texts nor a rare
+    language leave the softmax untaught. Rounds of steps go on until their mean loss is below ``TAUGHT`` or
+    no longer falls, at most ``ROUNDS``; in a last round the rate falls to 0. Every other
+    step sees only the first ``SHORT`` draws of its texts, so that short texts are learned too.
     """
     rng = np.random.default_rng(seed)
     vectors = rng.uniform(-1, 1, (1 << BITS, DIMENSIONS)) / DIMENSIONS
     weights, constant = np.zeros((DIMENSIONS, classes)), np.zeros(classes)
-    steps, done = EPOCHS * -(-len(labels) // BATCH), 0
-    for _ in range(EPOCHS):
-        order = rng.permutation(len(labels))
-        for at in range(0, len(order), BATCH):
-            some = order[at:at + BATCH]
-            ids = buckets[some] if done % 2 else buckets[some, :SHORT]
-            rate = RATE * (1 - done / steps)
+    by_label = np.argsort(labels, kind="stable")
+    counts = np.bincount(labels, minlength=classes)
+    starts, present = np.cumsum(counts) - counts, np.flatnonzero(counts)
+    before, final = np.inf, False
+    for turn in range(ROUNDS + 1):
+        total = 0.0
+        for step in range(STEPS):
+            of = rng.choice(present, BATCH)
+            some = by_label[starts[of] + (rng.random(BATCH) * counts[of]).astype(np.int64)]
+            ids = buckets[some] if step % 2 else buckets[some, :SHORT]
+            rate = RATE * (1 - step / STEPS) if final else RATE
             mean = vectors[ids].mean(axis=1)
-            wrong = softmax(mean @ weights + constant)
-            wrong[np.arange(len(some)), labels[some]] -= 1
+            p = softmax(mean @ weights + constant)
+            total -= np.log(p[np.arange(BATCH), labels[some]] + 1e-12).mean()
+            wrong = p
+            wrong[np.arange(BATCH), labels[some]] -= 1
             back = wrong @ weights.T / ids.shape[1]
-            weights -= rate * mean.T @ wrong / len(some) * 8
+            weights -= rate * mean.T @ wrong / BATCH * 8
             constant -= rate * wrong.mean(axis=0)
             np.add.at(vectors, ids.ravel(), np.repeat(-rate * back, ids.shape[1], axis=0))
-            done += 1
+        if final:
+            break
+        loss = total / STEPS
+        final = loss < TAUGHT or (turn and loss > 0.9 * before) or turn == ROUNDS - 1
+        before = min(before, loss)
     return vectors, weights, constant
 
 
@@ -174,7 +217,7 @@ def calibrate(logits: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
     half of what all but 1 % of the right ones have, and at most one half."""
     if not len(labels):
         return 1.0, 0.0
-    grid = 2.0 ** np.arange(-4, 4.25, 0.25)
+    grid = 2.0 ** np.arange(-10, 6.25, 0.25)
     loss = [-np.log(softmax(logits / t)[np.arange(len(labels)), labels] + 1e-12).mean() for t in grid]
     t = float(grid[int(np.argmin(loss))])
     p = softmax(logits / t)
@@ -257,8 +300,7 @@ def learn(docs: DataFrame, learnable: Column | None = None, language: str = "lan
     if chosen is None:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
     # An id that repeats under another language is learned under its own rows' language only.
-    texts = docs.select("doc_id", "text", F.col("label").alias("own"))
-    sample = learning.sample_texts(texts.withColumn("text", F.when(F.col("own").isNotNull(), F.col("text"))), chosen, F.col("text"), "languages", "label", per_language, seed)
+    sample = learning.sample_texts(docs, chosen, F.col("text"), "languages", "label", per_language, seed, own=F.col("label"))
     sample = sample.withColumn("held", F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id"), F.lit(5)) == 0)
     table = draws(sample, seed)
     full = np.asarray(table.column("buckets").combine_chunks().value_lengths()) == DRAWN
@@ -289,7 +331,7 @@ def identify(docs: DataFrame, model: Model, id_column: str = "doc_id", text_colu
     layout = pa.schema([("doc_id", pa.int64()), ("lang_pred", pa.string()), ("score", pa.float64()), ("rejected", pa.bool_())])
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, limit=SCORED_BYTES):
             names, confidence, rejected = shared.value.predict(batch.column("text"))
             yield records({"doc_id": batch.column("doc_id"), "lang_pred": names, "score": confidence, "rejected": rejected}, layout)
 
@@ -304,7 +346,7 @@ def accepted(docs: DataFrame, model: Model, text_column: str = "text") -> DataFr
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(iter([batch]), at):
+            for part in slices(iter([batch]), at, SCORED_BYTES):
                 _, _, rejected = shared.value.predict(part.column(at).cast(pa.string()))
                 yield part.filter(pa.array(~rejected))
 

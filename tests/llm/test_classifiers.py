@@ -183,3 +183,124 @@ def test_repeated_rows_count_as_often_as_they_occur(labelled, make):
     twice = toxicity.learn(docs.unionAll(docs), labels)
     texts = pa.array([t for _, t, _, _ in rows[:50]])
     assert np.allclose(once.scores(texts), twice.scores(texts), atol=0.05)
+
+
+def test_no_task_ranks_a_whole_label(spark):
+    """Rows that reach a ranking: the bound and those with the last one's first bits, above Spark's own limit for rank filters too."""
+    rows = spark.range(200_000).select(F.col("id").alias("doc_id"), (F.col("id") % 50 == 0).cast("int").alias("label"), F.xxhash64("id").alias("hash"))
+    for bound in (300, 5_000, 20_000):
+        few = learning.least(rows, ["label"], "hash", bound).groupBy("label").count().collect()
+        assert all(min(bound, 4_000 if r["label"] else 196_000) <= r["count"] <= bound + 5 for r in few)
+        picked = learning.pick(rows.drop("hash"), "label", bound, 3)
+        got = {(r["label"], r["doc_id"]) for r in picked.collect()}
+        order = F.xxhash64(F.lit(3), "doc_id")
+        keyed = [(r["label"], r["o"] % (1 << 64), r["doc_id"]) for r in rows.withColumn("o", order).select("label", "o", "doc_id").collect()]
+        want = {(label, i) for label in (0, 1) for _, _, i in sorted(k for k in keyed if k[0] == label)[:bound]}
+        assert got == want
+
+
+def test_equal_hashes_stay_together(spark):
+    rows = spark.createDataFrame([("a", h) for h in [5] * 40 + [-1] * 10 + [1 << 50]] + [("b", 7)], "label string, hash long")
+    assert learning.least(rows, ["label"], "hash", 10).groupBy("label").count().collect() in ([("a", 40), ("b", 1)], [("b", 1), ("a", 40)])
+
+
+def test_an_id_under_two_languages_teaches_each_its_own_text(make):
+    docs = make([(1, "the house", "en", "a"), (1, "das haus", "de", "a"), (2, "the water", "en", "a"), (2, "ohne", None, "a")])
+    chosen = docs.select("doc_id", F.col("lang").alias("label")).filter("label is not null").distinct()
+    got = learning.sample_texts(docs.select("doc_id", "text", "lang"), chosen, F.col("text"), "two", "label", 10, 3, own=F.col("lang")).collect()
+    assert sorted((r["doc_id"], r["label"], r["text"]) for r in got) == [(1, "de", "das haus"), (1, "en", "the house"), (2, "en", "the water")]
+
+
+@pytest.mark.parametrize("size, least", [("sf0.001", 0.9), ("sf0.01", 0.97)])
+def test_languages_of_real_texts(spark, size, least):
+    docs = spark.read.parquet(f"/root/testdata/{size}/documents.parquet")
+    model = langid.learn(docs, learnable=remainder(F.col("doc_id")) != 2)
+    got = langid.identify(docs, model).join(docs.select("doc_id", "lang"), "doc_id").withColumn("held", remainder(F.col("doc_id")) == 2).collect()
+    held = [r for r in got if r["held"] and r["lang"] is not None]
+    assert np.mean([r["lang_pred"] == r["lang"] for r in held]) >= least
+    for lang in {r["lang"] for r in got if r["lang"] is not None}:
+        own = [r for r in got if r["lang"] == lang]
+        assert sum(r["rejected"] for r in own) <= max(1, 0.01 * len(own))
+
+
+def test_one_pass_sums_equal_plain_sums():
+    rng = np.random.default_rng(8)
+    model = langid.Model(["x", "y"], rng.normal(size=(2, 1 << langid.BITS)).astype(np.float32), np.zeros(2), usual=rng.normal(size=(2, 1 << langid.BITS)).astype(np.float32))
+    texts = pa.array(["the house is red", "", None, "x", "12", "ab cd", "日本 語", "a" * 40])
+    language = np.array([0, 1, 0, 1, 0, 1, 0, 1])
+    mean, count = model.averages(texts)
+    usual, _ = model.familiarity(texts, language)
+    for k in range(len(texts)):
+        ids = np.concatenate([b[f[k]:e[k]][u[f[k]:e[k]]] for b, u, f, e in langid.subwords(texts)])
+        assert count[k] == len(ids)
+        if len(ids):
+            assert np.allclose(mean[k], model.logits[:, ids].mean(axis=1)) and np.isclose(usual[k], model.usual[language[k], ids].mean())
+
+
+def test_a_step_follows_the_gradient():
+    """The batch step of the softmax: the loss's slope by differences."""
+    rng = np.random.default_rng(2)
+    vectors, weights, constant = rng.normal(size=(9, 3)), rng.normal(size=(3, 4)), rng.normal(size=4)
+    ids, labels = rng.integers(0, 9, (5, 6)), rng.integers(0, 4, 5)
+
+    def loss(w):
+        return -np.log(langid.softmax(vectors[ids].mean(axis=1) @ w + constant)[np.arange(5), labels]).sum()
+
+    wrong = langid.softmax(vectors[ids].mean(axis=1) @ weights + constant)
+    wrong[np.arange(5), labels] -= 1
+    slope = vectors[ids].mean(axis=1).T @ wrong
+    for at in np.ndindex(3, 4):
+        step = np.zeros((3, 4))
+        step[at] = 1e-6
+        assert (loss(weights + step) - loss(weights - step)) / 2e-6 == pytest.approx(slope[at], abs=1e-4)
+
+
+def test_toxicity_equals_a_plain_model(make, spark):
+    """Counts, ratios, chosen features, fit and score, each done again by dictionaries and plain gradient steps."""
+    rng = random.Random(12)
+    rows = []
+    for i in range(80):
+        bad = i % 4 == 0
+        rows.append((i, " ".join(rng.choices(["good", "mild", "calm", "tree"], k=8) + ["nasty", "vile"] * bad), "en", "a"))
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(80)], "doc_id long, toxic int")
+    model = toxicity.learn(make(rows), labels)
+
+    def grams(text):
+        padded = "".join(c if c.isalpha() else " " for c in text)
+        return {padded[i:i + n] for n in toxicity.ORDERS for i in range(len(padded) - n + 1)}
+
+    def bucket(gram):
+        codes = np.array([ord(c) for c in gram], np.uint32)
+        return int(dict(ngrams.hashes(codes, (len(gram),), toxicity.BITS))[len(gram)][0])
+
+    sets = [{bucket(g) for g in grams(t)} for _, t, _, _ in rows]
+    y = np.array([i % 4 == 0 for i in range(80)], float)
+    ratio = {}
+    for b in set().union(*sets):
+        n = [sum(b in s for s, v in zip(sets, y) if v == k) for k in (0, 1)]
+        ratio[b] = np.log((n[1] + 1) / (20 + 2)) - np.log((n[0] + 1) / (60 + 2))
+    used = sorted(b for b in ratio if model.feature[b] >= 0)
+    # The surest ones are features; n-grams that are nowhere count as seen once.
+    assert len(used) > 50 and {b for b, r in ratio.items() if abs(r) > 1} <= set(used)
+    x = np.array([[ratio[b] * (b in s) for b in used] for s in sets])
+    w, c = np.zeros(len(used)), float(np.log(0.25 / 0.75))
+    step = 1 / (0.5 * np.linalg.norm(x.T @ x / 80, 2) + toxicity.PENALTY + 0.5)
+    for _ in range(20_000):
+        p = 1 / (1 + np.exp(-(x @ w + c)))
+        w, c = w - step * (x.T @ (p - y) / 80 + toxicity.PENALTY * w), c - step * (p - y).mean()
+    want = 1 / (1 + np.exp(-(x @ w + c)))
+    assert np.allclose(model.scores(pa.array([t for _, t, _, _ in rows])), want, atol=0.03)
+
+
+def test_toxicity_of_odd_rows(odd, odd_rows, labelled):
+    _, labels, *_ = labelled
+    got = toxicity.score(odd, toxicity.learn(odd, labels)).collect()
+    assert len(got) == len(odd_rows) and all(0 <= r["score"] <= 1 for r in got)
+
+
+def test_language_of_odd_rows(odd, odd_rows):
+    model = langid.learn(odd)
+    got = langid.identify(odd, model).collect()
+    assert len(got) == len(odd_rows)
+    letters = {i: any(c.isalpha() for c in t or "") for i, t, _, _ in odd_rows if i is not None}
+    assert all((r["lang_pred"] == "und") == (not letters[r["doc_id"]]) for r in got if r["doc_id"] is not None)

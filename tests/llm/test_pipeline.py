@@ -62,6 +62,6 @@ def test_empty_table(spark, make, tmp_path):
 
 
 def test_every_operator_has_one_query():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
     assert set(queries.ORACLES) <= set(queries.QUERIES)
     assert corpus_pipeline.ORACLE_SQL is None and langid.UNKNOWN == "und" and len(secrets.BASE) == 3
