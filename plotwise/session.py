@@ -15,6 +15,8 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # The JVM does not compile methods above 8000 bytes of code; wide projections are then faster as separate expressions.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
