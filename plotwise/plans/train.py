@@ -3,17 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plotwise.functions import display, fixed, numbers
-from plotwise.operators import features, metrics
+from plotwise.operators import features, least_squares, metrics
+from plotwise.operators.least_squares import LinearModel
 from plotwise.session import ensure_checkpoints
+from plotwise.sources.runs import exists
 
 LINEAR, FOREST, BOOSTING = "Linear Regression", "Random Forest", "Gradient Boosting"
 
@@ -36,67 +38,83 @@ class ModelSettings:
 class Trained:
     evaluation: DataFrame          # model, rank, MAE, RMSE, R2
     best_name: str
-    model: PipelineModel           # features and best regressor
+    model: PipelineModel | LinearModel  # the best one, from input columns to a prediction
     importances: DataFrame | None  # feature, importance; None for the linear model
     scored: DataFrame              # test rows with one prediction column per model
 
 
-def regressors(s: ModelSettings, names: list[str] | None = None) -> dict:
+def tree_regressors(s: ModelSettings) -> dict:
     common = {"featuresCol": "features", "labelCol": features.TARGET}
-    every = {
-        LINEAR: LinearRegression(regParam=0.0, standardization=False, **common),
+    return {
         FOREST: RandomForestRegressor(numTrees=s.forest_trees, maxDepth=s.forest_depth, maxBins=s.max_bins,
                                       featureSubsetStrategy="all", seed=s.seed, bootstrap=s.bootstrap,
                                       maxMemoryInMB=1024, **common),
         BOOSTING: GBTRegressor(maxIter=s.boosting_rounds, maxDepth=s.boosting_depth, stepSize=s.boosting_step,
                                maxBins=s.max_bins, seed=s.seed, **common),
     }
-    return every if names is None else {n: every[n] for n in names}
 
 
 def train_and_evaluate(table: DataFrame, settings: ModelSettings = ModelSettings(), key: str = "id",
                        names: list[str] | None = None, numeric: Sequence[str] = features.NUMERIC,
-                       categorical: Sequence[str] = features.CATEGORICAL) -> Trained:
+                       categorical: Sequence[str] = features.CATEGORICAL, levels_from_train: bool = False) -> Trained:
     """Fit the models on the train side, measure them on the test side, keep the best R2.
 
-    ``table`` is a training table (``features.training_table``). Its vectors are
-    kept in memory with spilling, since every boosting round reads them.
+    ``table`` is a training table (``features.training_table``). It is kept in memory with
+    spilling, since every boosting round reads it. The linear model takes one aggregate of the
+    inputs as they are; vectors are made for the trees only. ``levels_from_train`` leaves the test
+    side out when levels are learned.
     """
     ensure_checkpoints(table.sparkSession)
-    feature_model = features.fit_features(table, numeric, categorical)
-    vectors = feature_model.transform(features.with_split(table, key)).select(key, "features", features.TARGET, "is_train")
-    # Every tree level reads the vectors again, so a table of few files is dealt over all cores once.
-    cores = table.sparkSession.sparkContext.defaultParallelism
-    vectors = vectors.repartition(cores, key) if vectors.rdd.getNumPartitions() < cores else vectors
-    vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
-    train = vectors.filter("is_train")
-    scored = vectors.filter("not is_train").select(key, "features", features.TARGET)
-    fitted, columns = {}, {}
-    for i, (name, regressor) in enumerate(regressors(settings, names).items()):
-        columns[name] = f"prediction_{i}"
-        fitted[name] = regressor.setPredictionCol(columns[name]).fit(train)
-        scored = fitted[name].transform(scored)
+    names = [LINEAR, FOREST, BOOSTING] if names is None else names
+    columns = {name: f"prediction_{i}" for i, name in enumerate(names)}
+    rows = features.with_split(table, key).select(*dict.fromkeys([key, *numeric, *categorical, features.TARGET, "is_train"]))
+    known = rows.filter("is_train") if levels_from_train else rows
+    trees = {name: regressor for name, regressor in tree_regressors(settings).items() if name in names}
+    feature_model = features.fit_features(known, numeric, categorical) if trees else None
+    if trees:
+        rows = feature_model.transform(rows).select(*rows.columns, "features")
+        # Every tree level reads the vectors again, so a table of few files is dealt over all cores once.
+        cores = table.sparkSession.sparkContext.defaultParallelism
+        rows = rows.repartition(cores, key) if rows.rdd.getNumPartitions() < cores else rows
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    train, scored = rows.filter("is_train"), rows.filter("not is_train")
+    fitted = {}
+    for name in names:
+        if name == LINEAR:
+            model = least_squares.fit(train, numeric, features.levels_of(known, categorical) if categorical else {}, features.TARGET)
+            fitted[name] = model
+            scored = replace(model, output=columns[name]).transform(scored)
+        else:
+            fitted[name] = trees[name].setPredictionCol(columns[name]).fit(train)
+            scored = fitted[name].transform(scored)
     evaluation = metrics.metrics(scored, features.TARGET, columns)
     # At most one row per model reaches the driver.
     evaluation = table.sparkSession.createDataFrame(evaluation.collect(), evaluation.schema)
     best = metrics.best_model(evaluation).first()["model"]
-    vectors.unpersist()
+    rows.unpersist()
 
+    if best == LINEAR:
+        return Trained(evaluation, best, fitted[best], None, scored)
     model = fitted[best].setPredictionCol("prediction")
-    weights = getattr(model, "featureImportances", None)
-    importances = None
-    if weights is not None:
-        pairs = zip(features.feature_names(feature_model, numeric, categorical), weights.toArray().tolist())
-        importances = table.sparkSession.createDataFrame(list(pairs), "feature string, importance double")
+    pairs = zip(features.feature_names(feature_model, numeric, categorical), model.featureImportances.toArray().tolist())
+    importances = table.sparkSession.createDataFrame(list(pairs), "feature string, importance double")
     return Trained(evaluation, best, PipelineModel([*feature_model.stages, model]), importances, scored)
 
 
-def save_model(model: PipelineModel, path: str) -> None:
-    model.write().overwrite().save(path)
+# The linear model is a text file in this folder of a model's path.
+LINEAR_FILE = "least_squares"
 
 
-def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+def save_model(model: PipelineModel | LinearModel, path: str) -> None:
+    if isinstance(model, LinearModel):
+        model.save(SparkSession.active(), f"{path}/{LINEAR_FILE}")
+    else:
+        model.write().overwrite().save(path)
+
+
+def load_model(path: str) -> PipelineModel | LinearModel:
+    spark = SparkSession.active()
+    return LinearModel.load(spark, f"{path}/{LINEAR_FILE}") if exists(spark, f"{path}/{LINEAR_FILE}") else PipelineModel.load(path)
 
 
 def complete_inputs(inputs: DataFrame) -> DataFrame:
@@ -107,7 +125,7 @@ def complete_inputs(inputs: DataFrame) -> DataFrame:
     return inputs.withColumns({**filled, "age_days": F.lit(0)})
 
 
-def score(inputs: DataFrame, model: PipelineModel | None, evaluation: DataFrame | None = None) -> DataFrame:
+def score(inputs: DataFrame, model: PipelineModel | LinearModel | None, evaluation: DataFrame | None = None) -> DataFrame:
     """Price estimates for a table of inputs: by the model, or by the rule without one."""
     rows = complete_inputs(inputs)
     kept = [*inputs.columns]

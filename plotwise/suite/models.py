@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from plotwise.functions import display, fixed
-from plotwise.operators import features, metrics
+from plotwise.functions import fixed
+from plotwise.operators import features, least_squares, metrics
 from plotwise.operators.sizes import join_fitted
-from plotwise.plans import train
+from plotwise.plans import fitted, train
+from plotwise.suite.display import price_text_sql
 from plotwise.suite.quality import SLOT_SQL
 from plotwise.suite.registry import query, sql_pick
 from plotwise.suite.scalars import raw, raw_sql
@@ -101,9 +102,57 @@ def best_model(spark, d):
 SETTINGS = train.ModelSettings(forest_depth=12)
 
 
-@query("train_lr")
+def least_squares_sql(rows: str, columns: dict[str, str]) -> tuple[str, str]:
+    """Steps that leave ``y`` without what the columns explain, for rows (id, is_train, y, inputs); the name of the last.
+
+    Column after column is taken out of the later ones and of y, by sums over the train rows. A
+    column that the earlier ones explain is left out. The prediction is what was taken out of y.
+    """
+    names = [f"c{k}" for k in range(len(columns))]
+    first = ", ".join(f"CAST({e} AS DOUBLE) AS {n}" for n, e in zip(names, columns.values(), strict=True))
+    steps = [f"t0 AS MATERIALIZED (SELECT id, is_train, y, y AS r, {first} FROM {rows})"]
+    for k, n in enumerate(names):
+        later = [*names[k + 1:], "r"]
+        sums = ", ".join(f"sum({n} * {x}) FILTER (is_train) AS s_{x}" for x in [n, *later])
+        steps.append(f"b{k} AS MATERIALIZED (SELECT {sums}, (SELECT sum({n} * {n}) FROM t0 WHERE is_train) AS whole FROM t{k})")
+        left = ", ".join(f"{x} - CASE WHEN s_{n} > 1e-9 * whole THEN {n} * s_{x} / s_{n} ELSE 0 END AS {x}" for x in later)
+        steps.append(f"t{k + 1} AS MATERIALIZED (SELECT id, is_train, y, {left} FROM t{k}, b{k})")
+    return ",\n    ".join(steps), f"t{len(names)}"
+
+
+_INPUTS = {"one": "1", **{c: c for c in features.NUMERIC},
+           **{f"{c}_{v}": f"CASE WHEN {c} = '{v}' THEN 1 ELSE 0 END" for c, vs in (("zone", _ZONES), ("property_type", _TYPES)) for v in vs}}
+
+
+def _metrics_sql(last: str) -> str:
+    return f"""SELECT 'Linear Regression' AS model, 0 AS rank, round(avg(abs(r)), 2) AS MAE, round(sqrt(avg(r * r)), 2) AS RMSE,
+        round(1 - sum(r * r) / (count(*) * var_pop(y)), 8) AS R2 FROM {last} WHERE NOT is_train"""
+
+
+_SPLIT = f"(SELECT *, {SLOT_SQL.format(k='id')} < 8 AS is_train, price_thb AS y FROM {_TRAINING})"
+_FIT, _FITTED = least_squares_sql(_SPLIT, _INPUTS)
+
+
+@query("train_lr", f"WITH {_FIT} {_metrics_sql(_FITTED)}")
 def train_lr(spark, d):
-    return train.train_and_evaluate(training_rows(spark, d), SETTINGS, names=[train.LINEAR]).evaluation
+    return _rounded(train.train_and_evaluate(training_rows(spark, d), SETTINGS, names=[train.LINEAR]).evaluation)
+
+
+@query("residual_sums", f"""
+    WITH {_FIT}, x AS (SELECT t0.*, {_FITTED}.r AS rest FROM t0 JOIN {_FITTED} USING (id) WHERE t0.is_train)
+    """ + " UNION ALL ".join(f"""SELECT '{name}' AS feature, round(sum(c{k} * y) / count(*), 1) AS mean_product,
+        round(sum(c{k} * rest) / count(*) / 1e6, 6) + 0.0 AS mean_residual_millions FROM x""" for k, name in enumerate(_INPUTS)))
+def residual_sums(spark, d):
+    """What least squares promises: the train side's residuals are orthogonal to every input."""
+    rows = features.with_split(training_rows(spark, d)).filter("is_train")
+    model = least_squares.fit(rows, features.NUMERIC, features.levels_of(rows), features.TARGET)
+    spread = features.one_hot(model.transform(rows).withColumns({"_zone": F.col("zone"), "_type": F.col("property_type")}))
+    inputs = {"one": F.lit(1.0), **{c: F.col(c) for c in features.NUMERIC}, **{c: F.col(f"`{c}`") for c in _INPUTS if c not in ("one", *features.NUMERIC)}}
+    rest = F.col(features.TARGET) - F.col("prediction")
+    products = [F.struct(F.lit(name).alias("feature"), (F.sum(c * F.col(features.TARGET)) / F.count("id")).alias("product"),
+                         (F.sum(c * rest) / F.count("id")).alias("residual")) for name, c in inputs.items()]
+    return spread.agg(F.array(*products).alias("p")).select(F.inline("p")).select(
+        "feature", F.round("product", 1).alias("mean_product"), (F.round(F.col("residual") / 1e6, 6) + F.lit(0.0)).alias("mean_residual_millions"))
 
 
 @query("train_rf")
@@ -122,22 +171,62 @@ def importances(spark, d):
     return metrics.importances_or_default(spark, trained.importances)
 
 
-def scored_homes(spark, d):
-    trained = train.train_and_evaluate(training_rows(spark, d), SETTINGS)
-    inputs = raw(spark, d, "orders", RAW_HOMES).select("id", "area_sqm", "bedrooms", "bathrooms", "floor", "zone",
-                                                       "property_type", "has_bts")
-    return train.score(inputs, trained.model, trained.evaluation)
+def inputs_of(spark, d):
+    return raw(spark, d, "orders", RAW_HOMES).select("id", "area_sqm", "bedrooms", "bathrooms", "floor", "zone", "property_type", "has_bts")
+
+
+# Inputs as they are scored: completed, and 0 days old.
+_ASKED = f"""(SELECT -1 - id AS id, coalesce(area_sqm, 50) AS area_sqm, coalesce(bedrooms, 1) AS bedrooms, coalesce(bathrooms, 1) AS bathrooms,
+    coalesce(floor, 1) AS floor, coalesce(has_bts, 0) AS has_bts, 0 AS age_days, coalesce(zone, 'CBD') AS zone,
+    coalesce(property_type, 'คอนโด') AS property_type, 0.0 AS price_thb, FALSE AS is_train, 0.0 AS y FROM {raw_sql('orders', RAW_HOMES)})"""
+_SCORE_FIT, _SCORED = least_squares_sql(f"(SELECT * FROM {_SPLIT} UNION ALL BY NAME SELECT * FROM {_ASKED})", _INPUTS)
 
 
-# Every row is scored by the best of the three models; the texts follow from the price.
 @query("batch_score", f"""
-    SELECT id, coalesce(area_sqm, 50) AS area_sqm, zone, TRUE AS priced, TRUE AS text_fits, TRUE AS info_fits FROM {raw_sql('orders', RAW_HOMES)}""")
+    WITH {_SCORE_FIT}, fit AS (SELECT 1 - sum(r * r) / (count(*) * var_pop(y)) AS r2 FROM {_SCORED} WHERE NOT is_train AND id >= 0),
+    s AS (SELECT -1 - t.id AS id, a.area_sqm, a.zone, -r AS price FROM {_SCORED} t JOIN {_ASKED} a USING (id))
+    SELECT id, area_sqm, zone, round(price) AS predicted_price, {price_text_sql('price')} AS formatted_price,
+           'Linear Regression (R² = ' || printf('%.4f', (SELECT r2 FROM fit)) || ')' AS model_info FROM s""")
 def batch_score(spark, d):
-    price = F.col("predicted_price")
-    return scored_homes(spark, d).select(
-        "id", "area_sqm", "zone", (price.isNotNull() & ~F.isnan(price)).alias("priced"),
-        (F.col("formatted_price") == display.price_text(price)).alias("text_fits"),
-        F.col("model_info").rlike(r"^(Linear Regression|Random Forest|Gradient Boosting) \(R² = -?\d+\.\d{4}\)$").alias("info_fits"))
+    """Every row scored by the linear model of all inputs."""
+    trained = train.train_and_evaluate(training_rows(spark, d), SETTINGS, names=[train.LINEAR])
+    rows = train.score(inputs_of(spark, d), trained.model, trained.evaluation)
+    return rows.withColumn("predicted_price", F.round("predicted_price", 0)).select(
+        "id", "area_sqm", "zone", "predicted_price", "formatted_price", "model_info")
+
+
+@query("batch_score_best")
+def batch_score_best(spark, d):
+    """Every row scored by the best of the three models."""
+    trained = train.train_and_evaluate(training_rows(spark, d), SETTINGS)
+    return train.score(inputs_of(spark, d), trained.model, trained.evaluation).select("id", "area_sqm", "zone", "predicted_price", "formatted_price", "model_info")
+
+
+# Prices as they were found, a tenth of them missing.
+RAW_OBSERVED = {**RAW_HOMES, "price_thb": f"CASE WHEN o_orderkey % 10 = 7 THEN NULL ELSE {RAW_HOMES['price_thb']} END", "price_imputed": "o_orderkey % 10 = 7"}
+_LEAK_FREE = f"""
+    found AS (SELECT *, price_thb IS NOT NULL AS observed, {SLOT_SQL.format(k='id')} < 8 AS is_train FROM {raw_sql('orders', RAW_OBSERVED)}),
+    medians AS (SELECT property_type, zone, median(price_thb) AS med FROM found WHERE is_train GROUP BY ALL),
+    grouped AS (SELECT found.* EXCLUDE (price_thb), coalesce(price_thb, med) AS price0 FROM found LEFT JOIN medians USING (property_type, zone)),
+    filled AS (SELECT *, coalesce(price0, (SELECT median(price0) FROM grouped WHERE is_train)) AS price_thb FROM grouped),
+    top AS (SELECT quantile_cont(price_thb / area_sqm, 0.99) AS p99 FROM filled WHERE is_train AND area_sqm > 0 AND price_thb / area_sqm > 0),
+    kept AS (SELECT id, area_sqm, coalesce(bedrooms, 1) AS bedrooms, coalesce(bathrooms, 1) AS bathrooms,
+        CASE WHEN property_type = 'ที่ดิน' THEN 0 ELSE coalesce(floor, 1) END AS floor, has_bts, coalesce(age_days, 0) AS age_days, zone, property_type,
+        price_thb AS y, is_train FROM filled WHERE area_sqm > 0 AND price_thb / area_sqm > 0 AND price_thb / area_sqm <= (SELECT p99 FROM top) AND (is_train OR observed))"""
+_FREE_FIT, _FREE = least_squares_sql("kept", _INPUTS)
+
+
+@query("leak_free_training", f"""
+    WITH {_LEAK_FREE}, {_FREE_FIT}, m AS ({_metrics_sql(_FREE)})
+    SELECT m.*, (SELECT count(*) FROM kept WHERE is_train) AS train_rows, (SELECT count(*) FROM kept WHERE NOT is_train) AS test_rows,
+           round((SELECT p99 FROM top), 4) AS price_limit FROM m""")
+def leak_free_training(spark, d):
+    """Cleaning learned on the train side; the models measured on prices that were observed."""
+    rows, learned = fitted.training_rows(raw(spark, d, "orders", RAW_OBSERVED))
+    sides = rows.agg(F.count_if("is_train"), F.count_if(~F.col("is_train"))).first()
+    evaluation = train.train_and_evaluate(features.training_table(rows), SETTINGS, names=[train.LINEAR], levels_from_train=True).evaluation
+    return _rounded(evaluation).withColumns({"train_rows": F.lit(sides[0]).cast("bigint"), "test_rows": F.lit(sides[1]).cast("bigint"),
+                                             "price_limit": F.round(F.lit(learned.limit), 4)})
 
 
 # On one input of two values, least squares, one unsampled tree and one boosting round all predict a group's mean.

@@ -1,8 +1,9 @@
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from plotwise.operators import features
-from plotwise.plans import train
+from plotwise.operators import features, least_squares
+from plotwise.plans import fitted, train
 
 SMALL = train.ModelSettings(forest_trees=8, forest_depth=6, boosting_rounds=8)
 
@@ -83,3 +84,62 @@ def test_importances_cover_every_feature(homes):
     forest = train.train_and_evaluate(features.training_table(homes), SMALL, names=[train.FOREST])
     rows = {r.feature: r.importance for r in forest.importances.collect()}
     assert sum(rows.values()) == pytest.approx(1) and max(rows, key=rows.get) == "area_sqm" and len(rows) == 11
+
+
+def test_least_squares_equals_numpy(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, float(rng.normal()), float(i % 7), 1.0, ["a", "b", "c", None][i % 4], ["x", "y"][i % 2]) for i in range(200)]
+    y = [3 * r[1] - r[2] + {"a": 5, "b": -1, "c": 2, None: 0}[r[4]] + float(rng.normal()) for r in rows]
+    df = spark.createDataFrame([(*r, v) for r, v in zip(rows, y)], "id long, u double, v double, one double, p string, q string, y double")
+    levels = {"p": ["a", "b", "c"], "q": ["x", "y"]}
+    model = least_squares.fit(df, ["u", "v", "one"], levels, "y")
+    x = np.array([[r[1], r[2], r[3], *[float(r[4] == v) for v in "abc"], *[float(r[5] == v) for v in "xy"]] for r in rows])
+    centred = x - x.mean(axis=0)
+    want = np.linalg.lstsq(centred, np.array(y) - np.mean(y), rcond=1e-10)[0]
+    got = [*model.numeric.values(), *[w for c in levels for w in model.levels[c].values()]]
+    assert got == pytest.approx(want.tolist(), abs=1e-8)
+    predicted = [r["prediction"] for r in model.transform(df).orderBy("id").collect()]
+    assert predicted == pytest.approx((centred @ want + np.mean(y)).tolist(), abs=1e-8)
+
+
+def test_least_squares_of_few_rows(spark):
+    df = spark.createDataFrame([(1.0, "a", 4.0)], "u double, p string, y double")
+    model = least_squares.fit(df, ["u"], {"p": ["a", "b"]}, "y")
+    assert model.transform(df).first()["prediction"] == pytest.approx(4.0)
+    assert model.transform(df.withColumn("p", F.lit("never seen"))).first()["prediction"] == pytest.approx(4.0)
+    assert least_squares.fit(df.limit(0), ["u"], {"p": ["a"]}, "y").transform(df).first()["prediction"] == 0
+
+
+def test_linear_model_is_saved_and_scored(spark, homes, tmp_path):
+    trained = train.train_and_evaluate(features.training_table(homes), names=[train.LINEAR])
+    train.save_model(trained.model, str(tmp_path / "model"))
+    loaded = train.load_model(str(tmp_path / "model"))
+    inputs = homes.select("id", "area_sqm", "zone", "property_type")
+    a, b = (train.score(inputs, m, trained.evaluation).orderBy("id").collect() for m in (trained.model, loaded))
+    assert a == b and a[0].model_info.startswith("Linear Regression (R² = 0.")
+
+
+def test_leak_free_cleaning_ignores_test_rows(spark, homes, tmp_path):
+    typed = homes.withColumn("price_imputed", F.col("price_thb").isNull())
+    sides = features.with_split(typed)
+    rows, learned = fitted.training_rows(typed)
+    absurd = typed.join(sides.select("id", "is_train"), "id").withColumn(
+        "price_thb", F.when(F.col("is_train"), F.col("price_thb")).otherwise(F.col("price_thb") * 1000)).drop("is_train")
+    _, again = fitted.training_rows(absurd)
+    assert learned.limit == again.limit and learned.median == again.median
+    assert sorted(map(tuple, learned.medians.collect())) == sorted(map(tuple, again.medians.collect()))
+    test = rows.filter("not is_train")
+    assert test.filter("not observed").isEmpty() and test.count() > 0
+    assert rows.filter("is_train and not observed").count() > 0
+    learned.save(spark, str(tmp_path / "fitted"))
+    loaded = fitted.FittedCleaning.load(spark, str(tmp_path / "fitted"))
+    assert (loaded.median, loaded.limit, loaded.levels) == (learned.median, learned.limit, learned.levels)
+    one = spark.createDataFrame([("CBD", "คอนโด", None, 50.0)], "zone string, property_type string, price_thb double, area_sqm double")
+    assert loaded.filled(one).first()["price_thb"] == learned.filled(one).first()["price_thb"] > 0
+
+
+def test_levels_of_the_test_side_stay_unknown(homes):
+    rows = features.training_table(homes)
+    only_test = features.with_split(rows).withColumn("zone", F.when(F.col("is_train"), F.col("zone")).otherwise(F.lit("Elsewhere"))).drop("is_train")
+    trained = train.train_and_evaluate(only_test, SMALL, names=[train.LINEAR], levels_from_train=True)
+    assert set(trained.model.levels["zone"]) == {"CBD", "Outer"}
