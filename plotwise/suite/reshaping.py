@@ -7,8 +7,8 @@ import uuid
 from pyspark.sql import functions as F
 
 from plotwise.functions import text
-from plotwise.operators import dedup
-from plotwise.session import shared_folder
+from plotwise.operators import dedup, similar
+from plotwise.session import shared_folder, staged
 from plotwise.sources import feeds, html, reports
 from plotwise.suite.registry import query, table
 
@@ -146,6 +146,23 @@ def fuzzy_dedup(spark, d):
     return kept.select("p_partkey", "p_name", "p_brand", "p_retailprice")
 
 
+# Nine words, of which the number is nearly a row's own.
+_AD = "lower(p_name || ' ' || p_type) || ' close to the park, lot ' || CAST(p_partkey % 701 AS {text})"
+
+
+@query("similar_titles", f"""
+    WITH k AS (SELECT p_partkey, p_brand, p_retailprice, {_AD.format(text='VARCHAR')} AS ad,
+        list_distinct(list_filter(string_split(trim(regexp_replace({_AD.format(text='VARCHAR')}, '[^a-z0-9]+', ' ', 'g')), ' '), lambda w: w <> '')) AS words FROM part)
+    SELECT p_partkey, ad, p_brand, p_retailprice FROM k WHERE NOT EXISTS (
+        SELECT 1 FROM k o WHERE o.p_brand = k.p_brand AND o.p_partkey < k.p_partkey
+          AND abs(ln(o.p_retailprice) - ln(k.p_retailprice)) <= ln(1.05) + 1e-9
+          AND greatest(len(o.words), len(k.words)) - len(list_intersect(o.words, k.words)) <= least(3, greatest(len(o.words), len(k.words)) // 8))""")
+def similar_titles(spark, d):
+    parts = table(spark, d, "part").select("p_partkey", "p_brand", "p_retailprice", F.expr(_AD.format(text="STRING")).alias("ad"))
+    kept = similar.drop_similar(staged(parts, "ads"), "p_partkey", "ad", "p_brand", "p_retailprice", ["p_partkey"])
+    return kept.select("p_partkey", "ad", "p_brand", "p_retailprice")
+
+
 def _element_sql(tag: str, css: str | None = None) -> str:
     attrs = r"(?:\s[^>]*)?" if css is None else (
         rf"""\s[^>]*?class\s*=\s*["''](?:[^"''>]*\s)?{css}(?:\s[^"''>]*)?["''][^>]*""")
