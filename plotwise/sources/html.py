@@ -27,15 +27,47 @@ def unescape(c: Column) -> Column:
     return F.when(F.contains(c, F.lit("&")), F.array_join(F.transform(F.split(c, "&", -1), decoded), "")).otherwise(c)
 
 
+def _markup_gone(part: Column) -> Column:
+    """Text behind the tag that a part between two ``<`` begins with; without a tag, the part was text."""
+    return F.when(part.rlike("^[A-Za-z/!?]"), F.regexp_replace(part, "^[^>]*>?", "")).otherwise(F.concat(F.lit("<"), part))
+
+
+def _whole_text(opened: Column, tag: str) -> Column:
+    """Text of the element that ``opened`` begins with, with elements of the same tag inside it.
+
+    The markup is split at its tags; the depth of open elements is counted from part to part, and the element ends
+    where it is 0 again (or with the page).
+    """
+    parts = F.slice(F.split(opened, "<", -1), F.lit(2), F.greatest(F.size(F.split(opened, "<", -1)) - 1, F.lit(0)))
+
+    def step(seen: Column, part: Column) -> Column:
+        opens = part.rlike(rf"(?i)^{tag}(?=[\s/>])") & ~part.rlike("^[^>]*/>")
+        depth = seen["depth"] + F.when(opens, 1).when(part.rlike(rf"(?i)^/{tag}\s*>"), -1).otherwise(0)
+        ended = F.when((seen["end"] == 0) & (depth == 0), seen["at"] + 1).otherwise(seen["end"])
+        return F.struct((seen["at"] + 1).alias("at"), depth.cast("int").alias("depth"), ended.cast("int").alias("end"))
+
+    zero = F.lit(0).cast("int")
+    end = F.aggregate(parts, F.struct(zero.alias("at"), zero.alias("depth"), zero.alias("end")), step)["end"]
+    inside = F.slice(parts, F.lit(1), F.when(end > 0, end - 1).otherwise(F.size(parts)))
+    return F.array_join(F.transform(inside, _markup_gone), "")
+
+
 def first_element_text(html: Column, tag: str, css_class: str | None = None) -> Column:
-    """Text of the first such element outside comments, ``N/A`` when there is none."""
+    """Text of the first such element outside comments, ``N/A`` when there is none.
+
+    Elements of the same tag inside it belong to its text; most have none, and are cut out by one expression.
+    """
     attrs = r"(?:\s[^>]*)?"
     if css_class is not None:
         attrs = (rf"""\s[^>]*?class\s*=\s*(?:"(?:[^">]*\s)?{css_class}(?:\s[^">]*)?"|'(?:[^'>]*\s)?{css_class}(?:\s[^'>]*)?'"""
                  rf"""|{css_class}(?=[\s>]))[^>]*""")
-    pattern = rf"(?is)<{tag}{attrs}>(.*?)</{tag}\s*>"
+    begin = rf"(?is)<{tag}{attrs}>"
+    pattern = rf"{begin}(.*?)</{tag}\s*>"
     seen = F.when(F.contains(html, F.lit("<!--")), F.regexp_replace(html, r"(?s)<!--.*?-->", "")).otherwise(html)
-    found = unescape(F.regexp_replace(F.regexp_extract(seen, pattern, 1), r"<[^>]*>", ""))
+    inner = F.regexp_extract(seen, pattern, 1)
+    nested = inner.rlike(rf"(?i)<{tag}[\s/>]")
+    opened = F.substr(seen, F.regexp_instr(seen, F.lit(begin)))
+    found = unescape(F.when(nested, _whole_text(opened, tag)).otherwise(F.regexp_replace(inner, r"<[^>]*>", "")))
     return F.when(seen.rlike(pattern), found).otherwise(F.lit(fixed.NOT_FOUND))
 
 

@@ -185,6 +185,19 @@ def html_fields(spark, d):
     return html.parse_listings(pages, keep=("page_id", "heading", "head_title", "ad"))
 
 
+# Pages around elements of the same tag, to four levels; what stands behind them belongs to the next element.
+_NESTED = """concat('<p>', url, '</p><span class="price">', page_id, repeat('<span>&amp;', page_id % 5), ' a', repeat('</span> b', page_id % 5),
+    '<br/><span/></span><span>c</span><h1 class="x listing-title"><b>', page_id % 7, '</b><h1>', 'd', '</h1> e</h1><div class=ad>', page_id % 3, ' < f<div>g</div>')"""
+
+
+@query("html_nested", """
+    SELECT page_id, page_id % 7 || 'd e' AS title, page_id || repeat('&', page_id % 5) || ' a' || repeat(' b', page_id % 5) AS price,
+           'DDProperty' AS source, page_id % 3 || ' < fg' AS ad FROM pages""")
+def html_nested(spark, d):
+    pages = table(spark, d, "pages").select("page_id", F.expr(_NESTED).alias("html"))
+    return html.parse_listings(pages.withColumn("ad", html.first_element_text(F.col("html"), "div", "ad")), keep=("page_id", "ad"))
+
+
 @query("text_cleanup", r"""
     SELECT page_id, regexp_replace(regexp_replace(html, '&amp;|<br>|\\n\\t', '', 'g'), '[🏠🔥⭐\x{0E00}]', '', 'g') AS cleaned
     FROM pages""")
