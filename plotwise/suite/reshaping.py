@@ -56,6 +56,15 @@ def csv_round_trip(spark, d):
     return feeds.read_csv(spark, path).select("id", "title", "note")
 
 
+@query("csv_split", "SELECT CAST(page_id AS VARCHAR) AS id, url, html, CAST(length(html) - length(replace(html, chr(10), '')) AS BIGINT) AS breaks FROM pages")
+def csv_split(spark, d):
+    """Pages with quotes and line breaks come back from quoted files that are cut into records by many tasks."""
+    path = f"{shared_folder(spark)}/csv-{uuid.uuid4().hex}"
+    reports.write_csv(table(spark, d, "pages").select(F.col("page_id").cast("string").alias("id"), "url", "html").repartition(2), path)
+    rows = feeds.read_csv(spark, path, split=True).select("id", "url", "html")
+    return rows.withColumn("breaks", (F.length("html") - F.length(F.replace("html", F.lit("\n"), F.lit("")))).cast("bigint"))
+
+
 @query("csv_null_tokens", """
     SELECT CAST(o_orderkey AS VARCHAR) AS id,
            CASE WHEN o_orderkey % 6 BETWEEN 0 AND 3 THEN NULL ELSE o_orderpriority END AS note,
