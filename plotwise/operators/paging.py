@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plotwise.functions import display
@@ -26,36 +27,56 @@ def sort_keys(df: DataFrame, by: str, price: str = "price_thb", tie: str = "id")
 DEEP = 100_000
 
 
+@dataclass(frozen=True)
+class PageIndex:
+    """The order of a table: its sort keys in slices, and how many rows lie before each slice.
+
+    Written once, then every page sorts the keys of the one or two slices that it lies in, and
+    fetches the other columns for its own rows only.
+    """
+
+    keys: DataFrame                       # sort key, tie and slice
+    slices: list[tuple[int, int, int]]    # slice, rows before it, rows
+    sort_by: str
+    price: str
+    tie: str
+
+    def page(self, df: DataFrame, page: int = 1, per_page: int = 20, columns: Sequence[str] | None = None) -> DataFrame:
+        """One page of the table that was indexed, as it was then. Pages below 1 are the first."""
+        wanted = [c for c in (columns or DISPLAY_COLUMNS) if c in df.columns]
+        offset = (max(1, page) - 1) * per_page
+        around = [(s, before) for s, before, rows in self.slices if before < offset + per_page and before + rows > offset]
+        if not around:
+            return df.limit(0).select(*wanted)
+        near = self.keys.filter(F.col("_slice").isin([s for s, _ in around]))
+        order = sort_keys(self.keys, self.sort_by, self.price, self.tie)
+        rows = near.orderBy(*order).offset(offset - min(b for _, b in around)).limit(per_page).select(self.tie).collect()  # one page
+        return df.filter(F.col(self.tie).isin([r[0] for r in rows])).orderBy(*sort_keys(df, self.sort_by, self.price, self.tie)).select(*wanted)
+
+
+def page_index(df: DataFrame, sort_by: str = "price_thb", price: str = "price_thb", tie: str = "id") -> PageIndex:
+    """Index of a table by its sort keys; ``tie`` is unique and not NULL, and splits even a single hot value."""
+    keys = df.select(*dict.fromkeys([c for c in (sort_by, tie) if c in df.columns]))
+    sliced = staged(keys.repartitionByRange(*sort_keys(keys, sort_by, price, tie)).withColumn("_slice", F.spark_partition_id()), "page-index", by="_slice")
+    slices, before = [], 0
+    for r in sliced.groupBy("_slice").agg(F.count(F.lit(1)).alias("n")).orderBy("_slice").collect():  # a row per slice
+        slices.append((r["_slice"], before, r["n"]))
+        before += r["n"]
+    return PageIndex(sliced, slices, sort_by, price, tie)
+
+
 def page(df: DataFrame, page: int = 1, per_page: int = 20, sort_by: str = "price_thb",
          columns: Sequence[str] | None = None, price: str = "price_thb", tie: str = "id",
          deep: int = DEEP) -> DataFrame:
-    """One page of a sorted table; each task keeps only the rows up to the page's end. Pages below 1 are the first."""
-    page = max(1, page)
-    wanted = [c for c in (columns or DISPLAY_COLUMNS) if c in df.columns]
-    keys = sort_keys(df, sort_by, price, tie)
-    offset = (page - 1) * per_page
-    if offset + per_page > deep:
-        df, offset = _slice_around(df, keys, offset, per_page)
-    return df.orderBy(*keys).offset(offset).limit(per_page).select(*wanted)
-
-
-def _slice_around(df: DataFrame, keys: Sequence[Column], offset: int, n: int) -> tuple[DataFrame, int]:
-    """The sorted slices that hold rows ``offset .. offset + n``, and the offset inside them.
+    """One page of a sorted table; each task keeps only the rows up to the page's end. Pages below 1 are the first.
 
-    For pages deep in a large table: rows are range-partitioned once by the sort
-    keys (the unique tie-break splits even a single hot value) and written with
-    their slice number; only the one or two slices around the page are sorted.
+    A deep page goes through an index; who shows many of them builds it once (``page_index``).
     """
-    sliced = staged(df.repartitionByRange(*keys).withColumn("_slice", F.spark_partition_id()), "slices")
-    sizes = sliced.groupBy("_slice").agg(F.count(F.lit(1)).alias("_n"))
-    running = Window.partitionBy(F.lit(0)).orderBy("_slice").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    before = sizes.withColumn("_before", F.sum("_n").over(running) - F.col("_n"))  # one row per slice
-    around = before.filter((F.col("_before") < offset + n) & (F.col("_before") + F.col("_n") > offset))
-    around = [(r["_slice"], r["_before"]) for r in around.select("_slice", "_before").toLocalIterator()]
-    if not around:
-        return df.limit(0), 0
-    return (sliced.filter(F.col("_slice").isin([s for s, _ in around])).drop("_slice"),
-            offset - min(b for _, b in around))
+    page = max(1, page)
+    if page * per_page > deep:
+        return page_index(df, sort_by, price, tie).page(df, page, per_page, columns)
+    wanted = [c for c in (columns or DISPLAY_COLUMNS) if c in df.columns]
+    return df.orderBy(*sort_keys(df, sort_by, price, tie)).offset((page - 1) * per_page).limit(per_page).select(*wanted)
 
 
 def page_info(df: DataFrame, page: int = 1, per_page: int = 20) -> DataFrame:

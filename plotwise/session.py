@@ -48,8 +48,8 @@ def ensure_checkpoints(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(shared_folder(spark))
 
 
-def staged(df: DataFrame, name: str = "stage", compression: str | None = None) -> DataFrame:
-    """Write a table once and read it back.
+def staged(df: DataFrame, name: str = "stage", compression: str | None = None, by: str | None = None) -> DataFrame:
+    """Write a table once and read it back, in a folder for each value of ``by`` if that is given.
 
     For inputs that several passes read: the lineage is cut, later passes prune
     columns and push filters into the files, and a lost executor costs nothing.
@@ -59,7 +59,7 @@ def staged(df: DataFrame, name: str = "stage", compression: str | None = None) -
     if not _STAGED:
         atexit.register(drop_staged, spark)
     _STAGED.append(path)
-    df.write.parquet(path, compression=compression)
+    df.write.parquet(path, partitionBy=by, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 

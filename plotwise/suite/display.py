@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plotwise.functions import fixed, display
@@ -46,6 +49,18 @@ def page_info(spark, d):
     return paging.page_info(rows, page=2, per_page=15)
 
 
+_ORDERS_PAGE = "SELECT {n} AS page, o_orderkey, o_totalprice, o_orderstatus FROM (SELECT * FROM orders ORDER BY {by}, o_orderkey LIMIT 40 OFFSET {at})"
+
+
+@query("deep_pages", " UNION ALL ".join(f"({_ORDERS_PAGE.format(n=n, by='o_totalprice', at=40 * (n - 1))})" for n in (1, 250, 375, 10_000)))
+def deep_pages(spark, d):
+    """Pages far behind in a sorted table, all through one index."""
+    orders = table(spark, d, "orders")
+    index = paging.page_index(orders, "o_totalprice", tie="o_orderkey")
+    pages = [index.page(orders, n, 40, ["o_orderkey", "o_totalprice", "o_orderstatus"]).withColumn("page", F.lit(n)) for n in (1, 250, 375, 10_000)]
+    return reduce(DataFrame.unionByName, pages).select("page", "o_orderkey", "o_totalprice", "o_orderstatus")
+
+
 @query("search", f"""
     SELECT id, title, price_thb FROM {_LISTINGS} WHERE regexp_matches(title, '(?i)RING.*brand#1')""")
 def search(spark, d):

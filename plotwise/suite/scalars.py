@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from plotwise.functions import dates, fixed, numbers, text
-from plotwise.operators import filters, impute
+from plotwise.operators import filters, impute, keywords
 from plotwise.suite.registry import query, sql_case, sql_pick, table
 
 
@@ -68,6 +68,21 @@ def default_by_type(spark, d):
 _WORDS = ["Ring", "anvil", "ed w", "OLD", "small", "gizmo"]
 
 
+_NOTE = "'Ref ' || CAST(o_custkey * 7 AS {t}) || '/' || CAST(o_orderkey AS {t}) || substr(' abcdefghij', CAST(o_orderkey % 10 AS INT) + 1, 2)"
+_KEY = "CASE WHEN p_partkey % 400 = 3 THEN substr('ABCDEFGHIJ', CAST(p_partkey % 9 AS INT) + 1, 2) ELSE CAST((p_partkey * 37 + 100) % 100000 AS {t}) END"
+
+
+@query("keyword_index", f"""
+    WITH x AS (SELECT o_orderkey AS id, {_NOTE.format(t='VARCHAR')} AS note FROM orders),
+    k AS (SELECT {_KEY.format(t='VARCHAR')} AS keyword, (p_partkey * 7919) % 1000003 AS rank FROM part)
+    SELECT id, note, (SELECT arg_min(keyword, rank) FROM k WHERE contains(lower(note), lower(keyword))) AS keyword FROM x""")
+def keyword_index(spark, d):
+    """The first of thousands of keywords, by an index of their rarest parts."""
+    texts = table(spark, d, "orders").select(F.col("o_orderkey").alias("id"), F.expr(_NOTE.format(t="STRING")).alias("note"))
+    words = table(spark, d, "part").select(F.expr(_KEY.format(t="STRING")).alias("keyword"), (F.col("p_partkey") * 7919 % 1000003).alias("rank"))
+    return keywords.with_first_keyword(texts, "note", words, output="keyword")
+
+
 @query("keyword_extract", """
     SELECT p_partkey, p_name, CASE WHEN contains(p_name, 'ring') THEN 'Ring' WHEN contains(p_name, 'anvil') THEN 'anvil'
         WHEN contains(p_name, 'ed w') THEN 'ed w' WHEN contains(p_name, 'old') THEN 'OLD'
