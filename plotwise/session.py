@@ -48,6 +48,15 @@ def ensure_checkpoints(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(shared_folder(spark))
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    """Path of a new folder in the shared one, deleted with the staged tables."""
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    if not _STAGED:
+        atexit.register(drop_staged, spark)
+    _STAGED.append(path)
+    return path
+
+
 def staged(df: DataFrame, name: str = "stage", compression: str | None = None, by: str | None = None) -> DataFrame:
     """Write a table once and read it back, in a folder for each value of ``by`` if that is given.
 
@@ -55,10 +64,7 @@ def staged(df: DataFrame, name: str = "stage", compression: str | None = None, b
     columns and push filters into the files, and a lost executor costs nothing.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    if not _STAGED:
-        atexit.register(drop_staged, spark)
-    _STAGED.append(path)
+    path = new_folder(spark, name)
     df.write.parquet(path, partitionBy=by, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
