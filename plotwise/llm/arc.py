@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from plotwise.llm.common import columns, records, ship, slices
 from plotwise.llm.idfile import make_folder
-from plotwise.session import shared_folder, staged
+from plotwise.session import new_folder, staged
 
 #: Bytes of records after which a file is closed.
 FILE_BYTES = 32 << 20
@@ -42,6 +42,7 @@ LEVEL = 4
 # Fixed values of the two formats.
 FIELDS = {1: "URL IP-address Archive-date Content-type Archive-length",
           2: "URL IP-address Archive-date Content-type Result-code Checksum Location Offset Filename Archive-length"}
+PAYLOAD_LENGTH = "X-Payload-Length"  # of a revisit, whose block may hold no head
 PROFILE = "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"
 
 ARC_FILES = pa.schema([("file", pa.string()), ("records", pa.int64())])
@@ -213,7 +214,7 @@ def read_arc(files: DataFrame, folder: str) -> DataFrame:
                 with store.open_input_file(f"{top}/{name}") as file:
                     for number, record in enumerate(arc_records(file)):
                         fields, _, payload = http(record.content)
-                        row = (name, number, page_id(fields), len(payload), hashlib.sha256(payload).hexdigest(), record_id(name, number))
+                        row = (name, number, page_id(fields), len(payload), hashlib.sha256(payload).hexdigest(), record_id(name, number, record.content))
                         for column, value in zip(out.values(), row, strict=True):
                             column.append(value)
                 yield records(out, ARC_RECORDS)
@@ -223,8 +224,9 @@ def read_arc(files: DataFrame, folder: str) -> DataFrame:
 
 # -- WARC
 
-def record_id(arc_file: str, number: int) -> str:
-    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{arc_file}/{number}')}>"
+def record_id(arc_file: str, number: int, content: bytes) -> str:
+    """By place and content, so that files of one name from different tables have different ids."""
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{arc_file}/{number}/{hashlib.sha256(content).hexdigest()}')}>"
 
 
 def warc_date(date: str) -> str:
@@ -241,14 +243,15 @@ def warc_record(fields: Iterable[tuple[str, str]], block: bytes) -> bytes:
 
 
 def converted(record: Record, own: str, refers_to: str | None) -> bytes:
-    """The WARC record for an ARC record: a response, or a revisit of another record."""
+    """The WARC record for an ARC record: a response, a resource if it has no HTTP head, or a revisit of another record."""
     fields, head, payload = http(record.content)
-    lines = [("WARC-Type", "revisit" if refers_to else "response"), ("WARC-Record-ID", own), ("WARC-Date", warc_date(record.date)),
+    kind, content = ("response", "application/http; msgtype=response") if head else ("resource", record.mime)
+    lines = [("WARC-Type", "revisit" if refers_to else kind), ("WARC-Record-ID", own), ("WARC-Date", warc_date(record.date)),
              ("WARC-Target-URI", record.url), ("WARC-IP-Address", record.ip),
              ("WARC-Payload-Digest", "sha256:" + hashlib.sha256(payload).hexdigest()),
-             ("WARC-Identified-Payload-Type", record.mime), ("Content-Type", "application/http; msgtype=response")]
+             ("WARC-Identified-Payload-Type", record.mime), ("Content-Type", content)]
     if refers_to:
-        lines += [("WARC-Profile", PROFILE), ("WARC-Refers-To", refers_to)]
+        lines += [("WARC-Profile", PROFILE), ("WARC-Refers-To", refers_to), (PAYLOAD_LENGTH, str(len(payload)))]
     return warc_record(lines, head if refers_to else record.content)
 
 
@@ -275,13 +278,15 @@ def convert(arc: DataFrame, arc_folder: str, folder: str, least: int = REVISIT_B
         with store.open_input_file(f"{top}/{name}") as file:
             for number, (record, (id_, refers_to)) in enumerate(zip(arc_records(file), own, strict=True)):
                 if not number:
-                    output.add(warc_record([("WARC-Type", "warcinfo"), ("WARC-Record-ID", record_id(name, -1)), ("WARC-Date", warc_date(record.date)),
+                    output.add(warc_record([("WARC-Type", "warcinfo"), ("WARC-Record-ID", record_id(name, -1, info)), ("WARC-Date", warc_date(record.date)),
                                             ("WARC-Filename", output.name), ("Content-Type", "application/warc-fields")], info), counts=False)
                 output.add(converted(record, id_, refers_to))
         output.close()
         return pa.Table.from_batches(output.batches(), ARC_FILES)
 
-    return staged(planned.groupBy("file").applyInArrow(write, schema_of(ARC_FILES)), "warc")
+    # A task for each file: plans are small rows, which would otherwise be packed into few tasks.
+    files = max(1, arc.select("file").distinct().count())
+    return staged(planned.repartition(files, "file").groupBy("file").applyInArrow(write, schema_of(ARC_FILES)), "warc")
 
 
 def warc_records(file: BinaryIO) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -303,7 +308,7 @@ def warc_records(file: BinaryIO) -> Iterator[tuple[dict[str, str], bytes]]:
 
 
 def read_warc(files: DataFrame, folder: str) -> DataFrame:
-    """One row per response and revisit of the WARC files; payload digests of responses are verified."""
+    """One row per response, resource and revisit of the WARC files; payload digests are verified where there is a payload."""
     ship(files.sparkSession)
     at = uri(folder)
 
@@ -315,13 +320,13 @@ def read_warc(files: DataFrame, folder: str) -> DataFrame:
                 with store.open_input_file(f"{top}/{name}") as file:
                     for fields, block in warc_records(file):
                         kind = fields["warc-type"]
-                        if kind not in ("response", "revisit"):
+                        if kind not in ("response", "resource", "revisit"):
                             continue
                         digest = fields["warc-payload-digest"].removeprefix("sha256:")
                         own, _, payload = http(block)
-                        if kind == "response" and hashlib.sha256(payload).hexdigest() != digest:
+                        if kind != "revisit" and hashlib.sha256(payload).hexdigest() != digest:
                             raise ValueError("a payload differs from its digest")
-                        size = len(payload) if kind == "response" else int(own["content-length"])
+                        size = int(fields[PAYLOAD_LENGTH.lower()]) if kind == "revisit" else len(payload)
                         row = (fields["warc-record-id"], page_id(own), size, digest, kind, fields.get("warc-refers-to"),
                                fields["warc-target-uri"], fields["warc-date"])
                         for column, value in zip(out.values(), row, strict=True):
@@ -333,7 +338,7 @@ def read_warc(files: DataFrame, folder: str) -> DataFrame:
 
 def round_trip(pages: DataFrame) -> DataFrame:
     """Pages as ARC, converted to WARC and read back; ``refers_to`` is the page id of the record revisited."""
-    top = f"{shared_folder(pages.sparkSession)}/archives-{uuid.uuid4().hex}"
+    top = new_folder(pages.sparkSession, "archives")
     arc = staged(read_arc(write_arc(pages, f"{top}/arc"), f"{top}/arc"), "arc-records")
     read = staged(read_warc(convert(arc, f"{top}/arc", f"{top}/warc"), f"{top}/warc"), "warc-records")
     revisited = read.filter("refers_to_id is not null").select("refers_to_id").distinct()

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from plotwise.llm import idcoder, tokens
 from plotwise.llm.common import columns, records, ship, slices
-from plotwise.session import shared_folder, staged
+from plotwise.session import new_folder, staged
 
 #: Blocks of a file at most.
 FILE_BLOCKS = 16
@@ -196,6 +196,6 @@ def decode_file(file: pa.NativeFile, start: int) -> Iterator[pa.RecordBatch]:
 
 
 def round_trip(docs: DataFrame, vocabulary: str, end_id: int, **options) -> DataFrame:
-    """Write all documents into a new folder of the shared one, and read the files back."""
-    folder = f"{shared_folder(docs.sparkSession)}/ids-{uuid.uuid4().hex}"
+    """Write all documents into a new folder of the shared one, and read the files back. The folder goes with the staged tables."""
+    folder = new_folder(docs.sparkSession, "ids")
     return read_ids(write_ids(docs, vocabulary, end_id, folder, **options), folder)

@@ -36,6 +36,9 @@ from plotwise.session import staged
 #: Different documents that a bucket has on average.
 BUCKET_ROWS = 4096
 
+#: Rows alike in id, source and size that one task makes again.
+ALIKE_ROWS = 1 << 16
+
 #: Patterns that the driver accepts.
 MAX_PATTERNS = 1_000_000
 
@@ -236,8 +239,12 @@ def mixed_rows(docs: DataFrame, seed: int = 11) -> DataFrame:
     table = docs.sparkSession.createDataFrame(
         [(s, sizes[s], float(targets[s])) for s in sizes], "of string, source_size long, target double")
     keyed = decisions.join(F.broadcast(table) if len(sizes) <= 20_000 else table, F.col("source").eqNullSafe(F.col("of")))
-    each = F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows")))
-    return keyed.select("*", each.alias("nth")).select(
+    # Rows that are alike came as one; a great many of them are dealt to several tasks before they are made again.
+    part = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("rows") - 1) / ALIKE_ROWS)))
+    many = keyed.filter(F.col("rows") > ALIKE_ROWS).withColumn("part", part).repartition("doc_id", "source", "size", "part")
+    parts = keyed.filter(F.col("rows") <= ALIKE_ROWS).withColumn("part", F.lit(0).cast("long")).unionByName(many)
+    each = F.explode(F.sequence(F.col("part") * ALIKE_ROWS + 1, F.least(F.col("rows"), (F.col("part") + 1) * ALIKE_ROWS)))
+    return parts.select("*", each.alias("nth")).select(
         "doc_id", "size", "source_size", "target",
         (F.col("size") * (F.col("copies") + (F.col("nth") <= F.col("extra")).cast("long"))).alias("taken"), "source")
 

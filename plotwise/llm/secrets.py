@@ -27,6 +27,9 @@ from pyspark.sql import functions as F
 from plotwise.llm.common import columns
 from plotwise.session import staged
 
+#: Candidates (16 bytes each) that are sent to every executor at most; more meet the texts in a shuffle.
+MAX_SENT = 1_000_000
+
 BLOCK_ROWS = 4096
 #: Texts that a part of an expression may stand for, and characters of a set, before the part ends there.
 MOST_TEXTS, MOST_CHARACTERS = 64, 8
@@ -215,7 +218,8 @@ def with_candidates(docs: DataFrame, rules: tuple[Rule, ...], id_column: str, te
     if not queries:
         return rows.withColumn("rules", F.lit(0).cast("long")), [F.lit(True)] * len(rules)
     index = build_index(rows.select("key", "text"), grams, block_rows)
-    rows = rows.join(candidates(index, grams, queries), "key", "left").withColumn("rules", F.coalesce("rules", F.lit(0)).cast("long"))
+    found = staged(candidates(index, grams, queries), "candidates")
+    rows = rows.join(F.broadcast(found) if found.count() <= MAX_SENT else found, "key", "left").withColumn("rules", F.coalesce("rules", F.lit(0)).cast("long"))
     return rows, [F.col("rules").bitwiseAND(F.lit(1 << i)) != 0 if i in queries else F.lit(True) for i in range(len(rules))]
 
 

@@ -1,6 +1,7 @@
 import gzip
 import hashlib
 import io
+import os
 import random
 
 import pytest
@@ -70,5 +71,35 @@ def test_dates():
     assert arc.warc_date("1997") == "1997-01-01T00:00:00Z" and arc.warc_date("") == "1970-01-01T00:00:00Z"
 
 
+def test_records_without_a_head_are_resources(spark, tmp_path):
+    body = b"x" * 150
+    records = [arc.Record("dns:a", "0.0.0.0", "1997", "text/dns", body), arc.Record("ftp://b/", "0.0.0.0", "1998", "text/plain", body),
+               arc.Record("http://c/", "1.1.1.1", "1999", "text/html", b"HTTP/1.0 200 OK\r\nA: b\r\n\r\n" + body),
+               arc.Record("dns:d", "0.0.0.0", "1997", "text/dns", b"short"), arc.Record("dns:e", "0.0.0.0", "1997", "text/dns", b"short")]
+    folder, ids = tmp_path / "arc", []
+    folder.mkdir()
+    for name in ("one.arc.gz", "two.arc.gz"):
+        (folder / name).write_bytes(gzip.compress(arc.version_block(1, name, "1997") + b"".join(arc.arc_record(1, r, 0, name) for r in records)))
+    files = spark.createDataFrame([("one.arc.gz", 5), ("two.arc.gz", 5)], arc.schema_of(arc.ARC_FILES))
+    found = arc.staged(arc.read_arc(files, str(folder)), "arc")
+    got = arc.read_warc(arc.convert(found, str(folder), str(tmp_path / "warc")), str(tmp_path / "warc")).collect()
+    assert len(got) == 10 and len({r["record_id"] for r in got}) == 10
+    kinds = sorted((r["payload_bytes"], r["record_type"]) for r in got)
+    assert kinds == [(5, "resource")] * 4 + [(150, "resource")] + [(150, "revisit")] * 5
+    assert len({r["refers_to_id"] for r in got if r["record_type"] == "revisit"}) == 1
+
+
+def test_archives_go_with_the_staged_tables(spark):
+    from plotwise import session
+    kept = list(session._STAGED)
+    arc.round_trip(pages_of(spark, [(1, "u", "x" * 200)])).collect()
+    top = [p for p in session._STAGED if p not in kept and "/archives-" in p]
+    assert len(top) == 1 and os.path.isdir(top[0])
+    session._STAGED[:] = top
+    session.drop_staged(spark)
+    session._STAGED[:] = kept
+    assert not os.path.exists(top[0])
+
+
 def test_empty(spark):
     assert arc.round_trip(pages_of(spark, [])).collect() == []

@@ -115,3 +115,10 @@ def test_mixed_documents_keep_their_columns(odd, empty):
     assert out.schema.simpleString() == odd.schema.simpleString()
     assert all(r["text"].split() for r in out.collect())
     assert mixing.mixed_documents(empty).collect() == [] and mixing.mixed_rows(empty).collect() == []
+
+
+def test_many_rows_alike_are_made_in_parts(make, monkeypatch):
+    rows = [(1, "one two", "en", "a")] * 700 + [(i, "w " * i, "en", "b") for i in range(2, 30)]
+    want = sorted(mixing.mixed_rows(make(rows)).collect(), key=str)
+    monkeypatch.setattr(mixing, "ALIKE_ROWS", 50)
+    assert sorted(mixing.mixed_rows(make(rows)).collect(), key=str) == want and len(want) == len(rows)
