@@ -15,7 +15,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from plotwise.plans import job  # noqa: E402
 from plotwise.session import get_session  # noqa: E402
-from plotwise.sources import feeds, reports  # noqa: E402
+from plotwise.sources import feeds  # noqa: E402
 from plotwise.suite import job as feed_queries  # noqa: E402
 from plotwise.suite.catalog import QUERIES  # noqa: E402
 
@@ -26,22 +26,7 @@ HEADLINE = [
     "html_fields", "text_cleanup", "iqr_filter", "step_audit", "run_report", "fuzzy_dedup", "csv_round_trip",
 ]
 #: Modelling; once each, as they take long.
-MODELS = ["train_lr", "train_gbt"]
-
-
-def write_feeds(spark, folder: str, out: str) -> dict[str, str]:
-    """The three feeds as CSV folders, with the column names of the original feeds; not timed."""
-    paths = {}
-    for name, spec, table, columns in (("DD", feeds.DD, "orders", feed_queries.RAW_DD),
-                                       ("BN", feeds.BN, "lineitem", feed_queries.RAW_BN),
-                                       ("HF", feeds.HF, "part", feed_queries.RAW_HF)):
-        mapped = {"price_raw": "price",
-                  "area_raw": next(c for c in ("area_sqm", "area_wah", "area") if c in columns)}
-        raw = feed_queries.raw(spark, folder, table, columns)
-        cells = raw.select(*[raw[mapped.get(u, u)].alias(c) for u, c in spec.columns.items()])
-        paths[name] = f"{out}/{name}"
-        reports.write_csv(cells.repartition(8), paths[name])
-    return paths
+MODELS = ["train_lr", "train_rf", "train_gbt"]
 
 
 def feeds_to_final(spark, paths: dict[str, str]) -> float:
@@ -62,7 +47,7 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     seconds: dict[str, float] = {}
     try:
-        paths = write_feeds(spark, folder, f"{scratch}/feeds")
+        paths = feed_queries.write_feeds(spark, folder, f"{scratch}/feeds")  # not timed
         rows = feeds.load_feeds(spark, paths).count()
         seconds["feeds_to_final"] = min(feeds_to_final(spark, paths) for _ in range(3))
         for name in HEADLINE:

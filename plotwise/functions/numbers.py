@@ -11,6 +11,11 @@ from plotwise.functions.text import contains_any, lookup, strip
 _NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 
 
+def rounded(c: Column, digits: int) -> Column:
+    """To so many decimals; what lies exactly between two goes to the even one."""
+    return F.rint(c * float(10 ** digits)) / float(10 ** digits)
+
+
 def to_number(c: Column) -> Column:
     """Double, or NULL for anything that is not a plain number.
 

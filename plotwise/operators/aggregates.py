@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plotwise.functions.dates import month_label, parse_date
+from plotwise.functions.numbers import rounded
 from plotwise.operators.quantiles import scalar_quantile
 
 
@@ -37,7 +38,7 @@ def value_counts(df: DataFrame, by: str | Sequence[str], keep_null: bool = False
 def with_share(counts: DataFrame, count: str = "count", share: str = "share_pct") -> DataFrame:
     """Percent of the total of a table that is already grouped."""
     total = counts.agg(F.sum(count)).scalar()
-    return counts.withColumn(share, F.round(F.col(count) * 100.0 / total, 1))
+    return counts.withColumn(share, rounded(F.col(count) * 100.0 / total, 1))
 
 
 def ranges(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -48,7 +49,7 @@ def ranges(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def average_by(df: DataFrame, by: str, value: str, name: str = "avg_price", digits: int = 2) -> DataFrame:
     """Rounded average per group, highest (before rounding) first."""
     return (df.filter(F.col(by).isNotNull()).groupBy(by).agg(F.avg(value).alias("_avg"))
-            .orderBy(F.desc("_avg"), by).select(by, F.round("_avg", digits).alias(name)))
+            .orderBy(F.desc("_avg"), by).select(by, rounded(F.col("_avg"), digits).alias(name)))
 
 
 def dated(df: DataFrame, day_text: str, value: str, iso_only: bool = False) -> DataFrame:
@@ -60,7 +61,7 @@ def monthly_average(df: DataFrame, day_text: str, value: str, iso_only: bool = F
                     name: str = "avg_price", digits: int = 2) -> DataFrame:
     rows = dated(df, day_text, value, iso_only)
     return (rows.groupBy(month_label(F.col("_day")).alias("month"))
-            .agg(F.round(F.avg(value), digits).alias(name)).orderBy("month"))
+            .agg(rounded(F.avg(value), digits).alias(name)).orderBy("month"))
 
 
 def undated_count(df: DataFrame, day_text: str, value: str, iso_only: bool = False) -> DataFrame:

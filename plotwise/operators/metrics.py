@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plotwise.functions import fixed
+from plotwise.functions.numbers import rounded
 
 
 def metrics(scored: DataFrame, target: str, predictions: Mapping[str, str]) -> DataFrame:
@@ -39,7 +40,7 @@ def best_model(evaluated: DataFrame) -> DataFrame:
 
 def top_importances(rows: DataFrame, n: int = 15, digits: int = 4) -> DataFrame:
     return (rows.orderBy(F.desc("importance"), "feature").limit(n)
-            .select("feature", F.round("importance", digits).alias("importance")))
+            .select("feature", rounded(F.col("importance"), digits).alias("importance")))
 
 
 def importances_or_default(spark, rows: DataFrame | None, n: int = 15) -> DataFrame:

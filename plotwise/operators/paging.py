@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plotwise.functions import display
+from plotwise.functions.numbers import rounded
 from plotwise.session import staged
 
 DISPLAY_COLUMNS = ["id", "title", "property_type", "location", "zone", "price_thb", "area_sqm",
@@ -110,6 +111,6 @@ def sample_rows(df: DataFrame, n: int, key: Sequence[str], seed: int = 42) -> Da
 
 def series(sample: DataFrame, label: str, x: str, y: str) -> DataFrame:
     """Rounded points of a bounded sample, one row per label."""
-    point = F.struct(F.round(x, 1).alias("x"), F.round(y, 0).alias("y"))
+    point = F.struct(rounded(F.col(x), 1).alias("x"), rounded(F.col(y), 0).alias("y"))
     return sample.dropna(subset=[x, y]).groupBy(F.col(label).alias("label")).agg(
         F.sort_array(F.collect_list(point)).alias("data"))

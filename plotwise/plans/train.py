@@ -17,6 +17,9 @@ from plotwise.operators.least_squares import LinearModel
 from plotwise.session import ensure_checkpoints
 from plotwise.sources.runs import exists
 
+# Rows of a part that trees are grown from, at least.
+PART_ROWS = 32_768
+
 LINEAR, FOREST, BOOSTING = "Linear Regression", "Random Forest", "Gradient Boosting"
 
 
@@ -50,7 +53,7 @@ def tree_regressors(s: ModelSettings) -> dict:
                                       featureSubsetStrategy="all", seed=s.seed, bootstrap=s.bootstrap,
                                       maxMemoryInMB=1024, **common),
         BOOSTING: GBTRegressor(maxIter=s.boosting_rounds, maxDepth=s.boosting_depth, stepSize=s.boosting_step,
-                               maxBins=s.max_bins, seed=s.seed, **common),
+                               maxBins=s.max_bins, seed=s.seed, checkpointInterval=50, **common),
     }
 
 
@@ -73,9 +76,10 @@ def train_and_evaluate(table: DataFrame, settings: ModelSettings = ModelSettings
     feature_model = features.fit_features(known, numeric, categorical) if trees else None
     if trees:
         rows = feature_model.transform(rows).select(*rows.columns, "features")
-        # Every tree level reads the vectors again, so a table of few files is dealt over all cores once.
+        # Every tree level reads the vectors again in a short job, so they are dealt out once, in as many parts as pay.
+        parts, have = -(-rows.count() // PART_ROWS) or 1, rows.rdd.getNumPartitions()
         cores = table.sparkSession.sparkContext.defaultParallelism
-        rows = rows.repartition(cores, key) if rows.rdd.getNumPartitions() < cores else rows
+        rows = rows.coalesce(parts) if parts < have else rows.repartition(min(parts, cores), key) if have < min(parts, cores) else rows
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     train, scored = rows.filter("is_train"), rows.filter("not is_train")
     fitted = {}

@@ -82,6 +82,13 @@ def avg_by_group(spark, d):
     return aggregates.average_by(_groups(spark, d), "zone", "price")
 
 
+@query("rounded_ties", """
+    SELECT l_orderkey, round_even(avg(l_quantity) * 10, 0) / 10 AS avg_price FROM lineitem GROUP BY l_orderkey""")
+def rounded_ties(spark, d):
+    """Averages of a few whole numbers, many of them exactly between two decimals."""
+    return aggregates.average_by(table(spark, d, "lineitem"), "l_orderkey", "l_quantity", digits=1)
+
+
 @query("type_share", f"""
     SELECT kind, count(*) AS count, round(count(*) * 100.0 / sum(count(*)) OVER (), 1)::DOUBLE AS share_pct
     FROM {_GROUPS} WHERE kind IS NOT NULL GROUP BY kind""")

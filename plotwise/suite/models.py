@@ -246,6 +246,27 @@ def models_one_input(spark, d):
     return _rounded(train.train_and_evaluate(training_rows(spark, d), ONE_TREE, numeric=["has_bts"], categorical=[]).evaluation)
 
 
+# On three inputs of two values, trees of depth 3 end in the groups of all three, so every tree of a forest without
+# sampling predicts the groups' means, and so does boosting after any number of rounds, as nothing is left to correct.
+_THREE = {"one": "1", "has_bts": "has_bts", "land": "CASE WHEN property_type = 'ที่ดิน' THEN 1 ELSE 0 END", "large": "CASE WHEN area_sqm >= 110 THEN 1 ELSE 0 END"}
+_THREE_FIT, _THREE_LEFT = least_squares_sql(_SPLIT, _THREE)
+TREES = train.ModelSettings(forest_trees=5, forest_depth=3, boosting_rounds=12, boosting_depth=3, bootstrap=False)
+
+
+@query("models_three_inputs", f"""
+    WITH {_THREE_FIT},
+    g AS (SELECT c1, c2, c3, avg(y) AS p FROM t0 WHERE is_train GROUP BY ALL),
+    s AS (SELECT y, p FROM t0 JOIN g USING (c1, c2, c3) WHERE NOT is_train),
+    e AS (SELECT round(avg(abs(p - y)), 2) AS MAE, round(sqrt(avg((p - y) * (p - y))), 2) AS RMSE,
+                 round(1 - sum((p - y) * (p - y)) / (count(*) * var_pop(y)), 8) AS R2 FROM s)
+    {_metrics_sql(_THREE_LEFT)} UNION ALL
+    SELECT m.model, m.rank, MAE, RMSE, R2 FROM e, (VALUES ('Random Forest', 1), ('Gradient Boosting', 2)) m(model, rank)""")
+def models_three_inputs(spark, d):
+    """Least squares, five trees and twelve rounds, each with predictions that SQL states."""
+    rows = training_rows(spark, d).withColumns({"land": (F.col("property_type") == fixed.LAND).cast("double"), "large": (F.col("area_sqm") >= 110).cast("double")})
+    return _rounded(train.train_and_evaluate(rows, TREES, numeric=["has_bts", "land", "large"], categorical=[]).evaluation)
+
+
 @query("importances_one_input", "SELECT 'has_bts' AS feature, 1.0::DOUBLE AS importance")
 def importances_one_input(spark, d):
     trained = train.train_and_evaluate(training_rows(spark, d), ONE_TREE, names=[train.FOREST], numeric=["has_bts"], categorical=[])
