@@ -253,6 +253,10 @@ _THREE_FIT, _THREE_LEFT = least_squares_sql(_SPLIT, _THREE)
 TREES = train.ModelSettings(forest_trees=5, forest_depth=3, boosting_rounds=12, boosting_depth=3, bootstrap=False)
 
 
+def three_inputs(spark, d):
+    return training_rows(spark, d).withColumns({"land": (F.col("property_type") == fixed.LAND).cast("double"), "large": (F.col("area_sqm") >= 110).cast("double")})
+
+
 @query("models_three_inputs", f"""
     WITH {_THREE_FIT},
     g AS (SELECT c1, c2, c3, avg(y) AS p FROM t0 WHERE is_train GROUP BY ALL),
@@ -263,8 +267,27 @@ TREES = train.ModelSettings(forest_trees=5, forest_depth=3, boosting_rounds=12,
     SELECT m.model, m.rank, MAE, RMSE, R2 FROM e, (VALUES ('Random Forest', 1), ('Gradient Boosting', 2)) m(model, rank)""")
 def models_three_inputs(spark, d):
     """Least squares, five trees and twelve rounds, each with predictions that SQL states."""
-    rows = training_rows(spark, d).withColumns({"land": (F.col("property_type") == fixed.LAND).cast("double"), "large": (F.col("area_sqm") >= 110).cast("double")})
-    return _rounded(train.train_and_evaluate(rows, TREES, numeric=["has_bts", "land", "large"], categorical=[]).evaluation)
+    return _rounded(train.train_and_evaluate(three_inputs(spark, d), TREES, numeric=["has_bts", "land", "large"], categorical=[]).evaluation)
+
+
+@query("importances_three_inputs", f"""
+    WITH x AS (SELECT [has_bts, {_THREE['land']}, {_THREE['large']}] AS c, y FROM {_SPLIT} WHERE is_train),
+    g AS (SELECT c, count(*) AS n, sum(y) AS s, sum(y * y) AS q FROM x GROUP BY c),
+    f AS (SELECT unnest([1, 2, 3]) AS f),
+    -- What a split takes off the sum of squares of a node: the whole, then either side of the first split, then of the second.
+    one AS (SELECT f, (SELECT sum(q) - sum(s) * sum(s) / sum(n) FROM g) - sum(part) AS gain FROM
+        (SELECT f, c[f] AS v, sum(q) - sum(s) * sum(s) / sum(n) AS part FROM g, f GROUP BY ALL) GROUP BY f QUALIFY row_number() OVER (ORDER BY gain DESC, f) = 1),
+    two AS (SELECT f1, v1, f, whole - sum(part) AS gain FROM
+        (SELECT one.f AS f1, c[one.f] AS v1, f.f, c[f.f] AS v, sum(q) - sum(s) * sum(s) / sum(n) AS part FROM g, one, f WHERE f.f <> one.f GROUP BY ALL)
+        JOIN (SELECT c[one.f] AS v1, sum(q) - sum(s) * sum(s) / sum(n) AS whole FROM g, one GROUP BY ALL) USING (v1)
+        GROUP BY f1, v1, f, whole QUALIFY row_number() OVER (PARTITION BY v1 ORDER BY gain DESC, f) = 1),
+    three AS (SELECT 6 - f1 - f AS f, (sum(q) - sum(s) * sum(s) / sum(n)) - sum(q - s * s / n) AS gain FROM g JOIN two ON c[f1] = v1 GROUP BY f1, v1, f, c[f]),
+    every AS (SELECT f, gain FROM one UNION ALL SELECT f, gain FROM two UNION ALL SELECT f, gain FROM three)
+    SELECT ['has_bts', 'land', 'large'][f] AS feature, round_even(sum(gain) / (SELECT sum(gain) FROM every) * 10000, 0) / 10000 AS importance FROM every GROUP BY f""")
+def importances_three_inputs(spark, d):
+    """What each input takes off the squared error of a forest's trees."""
+    trained = train.train_and_evaluate(three_inputs(spark, d), TREES, names=[train.FOREST], numeric=["has_bts", "land", "large"], categorical=[])
+    return metrics.importances_or_default(spark, trained.importances)
 
 
 @query("importances_one_input", "SELECT 'has_bts' AS feature, 1.0::DOUBLE AS importance")
