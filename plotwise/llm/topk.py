@@ -12,6 +12,7 @@ Each pair of blocks gives k rows per query, of which the best k are kept.
 Vectors that are null or hold a null or non-finite component take no part, and neither do
 rows without an id. Shorter vectors count as if zeros followed. A row is never its own
 candidate, but a repeated row with the same id is. An empty table gives an empty result.
+Components so large that a score could leave 64 bits are an error, never a wrapped score.
 """
 
 from __future__ import annotations
@@ -106,6 +107,8 @@ def pivot_table(vectors: DataFrame, id_column: str = "vec_id", vector_column: st
 def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Exact inner products: in floating point where that is exact, which is faster."""
     most = float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) * max(1, a.shape[-1])
+    if most >= 2 ** 63:
+        raise ValueError("components are too large for scores of 64 bits")
     if most < 2 ** 53:
         return (a.astype(np.float64) @ b.astype(np.float64)).astype(np.int64)
     return a @ b

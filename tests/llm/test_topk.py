@@ -56,3 +56,11 @@ def test_bounds_hold_and_eliminate():
     far = topk.distances(x, pivots)
     bound = np.abs(far[:, None, :] - far[None, :, :]).max(axis=2)
     assert (bound <= topk.distances(x, x) + 1e-3).all()
+
+
+def test_scores_beyond_64_bits_are_refused(spark):
+    rows = spark.createDataFrame([(0, [4e9, 4e9]), (1, [4e9, 4e9])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="too large for scores"):
+        topk.top_k(rows, F.col("vec_id") == 0).collect()
+    fine = spark.createDataFrame([(0, [1e6, 1e6]), (1, [1e6, -1e6]), (2, [1e6, 1e6])], "vec_id long, embedding array<double>")
+    assert [(r["vec_id"], r["score"]) for r in topk.top_k(fine, F.col("vec_id") == 0).collect()] == [(2, 2 * (1024 * 10 ** 6) ** 2), (1, 0)]
