@@ -67,6 +67,8 @@ def slices(batches: Iterator[pa.RecordBatch], column: str | int = "text", limit:
             last = min(first + rows, max(first + 1, int(np.searchsorted(sizes, done + limit, side="right"))))
             yield batch.slice(first, last - first)
             first = last
+    # The worker stays for other tasks; what this one no longer needs is given back.
+    pa.default_memory_pool().release_unused()
 
 
 def lengths(texts: pa.Array) -> np.ndarray:

@@ -46,6 +46,8 @@ from plotwise.session import staged
 BAND_ROWS, MISS = 5, 1e-6
 #: Classes of a block when sketches are compared within a task.
 BLOCK = 512
+#: Bytes of text that are signed at once; their shingles take some twenty times as much.
+SIGNED_BYTES = 1 << 20
 #: Bits of a shingle's hash within its document; the others number the document of a batch.
 KEY_BITS = 50
 EMPTY = np.uint64((1 << 64) - 1)
@@ -138,7 +140,7 @@ def sign(docs: DataFrame, size: int, coordinates: int, id_column: str, text_colu
                        *[docs[c].alias(name) for name, c in extra.items() if c not in (id_column, text_column)])
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, limit=SIGNED_BYTES):
             bounds, keys = shingles(batch.column("text"), size)
             marks = sketches(bounds, keys, coordinates)
             raw = memoryview((keys & np.uint64((1 << KEY_BITS) - 1)).tobytes())
