@@ -34,12 +34,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from plotwise.llm.common import SLICE_BYTES, buffers, columns, records, ship, slices, split_words
+from plotwise.llm.common import buffers, columns, records, ship, slices, split_words
 from plotwise.session import staged
 
 ORDER = 4
 END = 255
 BLOCK_BYTES = 16 << 20
+#: Bytes of text whose grams are held at once.
+SLICE_BYTES = 1 << 20
 #: Logarithms as whole numbers: of a node's weight, and of a gram's probability.
 NODE_UNIT, GRAM_UNIT = 1 << 12, 1 << 24
 
@@ -211,7 +213,7 @@ def score(docs: DataFrame, learnable: Column, order: int = ORDER, block_bytes: i
         word_score = np.log10((word_count + 1) / (tokens + kinds + 1))
         end_score = float(np.log10((ends + 1) / (tokens + kinds + 1)))
         out = []
-        for batch in slices(iter(texts.combine_chunks().to_batches()), "text"):
+        for batch in slices(iter(texts.combine_chunks().to_batches()), "text", SLICE_BYTES):
             keys, starts = grams(batch.column("text"), order)
             at = pc.index_in(pa.array(keys), value_set=gram_set)
             bounds, found_words = split_words(pc.ascii_lower(batch.column("text")))
