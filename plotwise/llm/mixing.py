@@ -85,10 +85,15 @@ class Network:
         return len(self.to) - 2
 
     def run(self, source: int, sink: int) -> None:
+        """A flow of the largest amount and the least cost.
+
+        Shortest distances are found once for each cost of a path, of which there are few; all paths of that cost are
+        then filled together, so the time hardly grows faster than the number of arcs.
+        """
         far = 1 << 60
-        height = [0] * len(self.out)
+        self.height = [0] * len(self.out)
         while True:
-            best, by = [far] * len(self.out), [-1] * len(self.out)
+            best = [far] * len(self.out)
             best[source] = 0
             heap = [(0, source)]
             while heap:
@@ -96,21 +101,60 @@ class Network:
                 if d > best[a]:
                     continue
                 for e in self.out[a]:
-                    b, new = self.to[e], d + self.cost[e] + height[a] - height[self.to[e]]
+                    b, new = self.to[e], d + self.cost[e] + self.height[a] - self.height[self.to[e]]
                     if self.room[e] and new < best[b]:
-                        best[b], by[b] = new, e
+                        best[b] = new
                         heapq.heappush(heap, (new, b))
             if best[sink] >= far:
                 return
-            height = [h + min(d, best[sink]) for h, d in zip(height, best, strict=True)]
-            path, at = [], sink
-            while at != source:
-                path.append(by[at])
-                at = self.to[by[at] ^ 1]
-            amount = min(self.room[e] for e in path)
-            for e in path:
-                self.room[e] -= amount
-                self.room[e ^ 1] += amount
+            self.height = [h + min(d, best[sink]) for h, d in zip(self.height, best, strict=True)]
+            while (level := self.levels(source))[sink] >= 0:
+                self.fill(source, sink, level)
+
+    def levels(self, source: int) -> list[int]:
+        """Arcs from the source to each node over arcs that lie on shortest paths, -1 where there is no way."""
+        level = [-1] * len(self.out)
+        level[source] = 0
+        found = [source]
+        for a in found:
+            for e in self.out[a]:
+                b = self.to[e]
+                if self.room[e] and level[b] < 0 and self.cost[e] + self.height[a] == self.height[b]:
+                    level[b] = level[a] + 1
+                    found.append(b)
+        return level
+
+    def fill(self, source: int, sink: int, level: list[int]) -> None:
+        """Send along such arcs, each a level further, until no way is left."""
+        at = [0] * len(self.out)
+        path: list[int] = []
+        node = source
+        while True:
+            if node == sink:
+                amount = min(self.room[e] for e in path)
+                for e in path:
+                    self.room[e] -= amount
+                    self.room[e ^ 1] += amount
+                # Go on from before the first arc that is full now.
+                first = next(k for k, e in enumerate(path) if not self.room[e])
+                node = self.to[path[first] ^ 1]
+                del path[first:]
+                continue
+            arcs = self.out[node]
+            while at[node] < len(arcs):
+                e = arcs[at[node]]
+                b = self.to[e]
+                if self.room[e] and level[b] == level[node] + 1 and self.cost[e] + self.height[node] == self.height[b]:
+                    break
+                at[node] += 1
+            else:
+                if node == source:
+                    return
+                node = self.to[path.pop() ^ 1]
+                at[node] += 1
+                continue
+            path.append(e)
+            node = b
 
 
 def route(patterns: Sequence[tuple], sizes: Sequence[int], quotas: dict, repeats: int = 2) -> list[int]:
