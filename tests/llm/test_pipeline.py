@@ -1,10 +1,15 @@
 import random
+import re
+import zlib
 from collections import Counter
 
+import numpy as np
+import public_tokenizers
 import pytest
+from tokenizers import Tokenizer
 
 import corpus_pipeline
-from plotwise.llm import langid, queries, secrets
+from plotwise.llm import langid, mixing, queries, secrets
 from plotwise.session import staged
 
 
@@ -49,6 +54,64 @@ def test_each_stage_takes_effect_and_keeps_the_columns(spark, folder):
     assert len({r["row_id"] for r in out["packing"]}) == len(out["mixing"])
 
 
+def plain_duplicates(rows):
+    """Ids that stay: the smallest of each component of texts whose sets of five-word shingles are 80 % alike."""
+    def shingles(text):
+        words = text.lower().split()
+        return {tuple(words[i:i + 5]) for i in range(len(words) - 4)} or {tuple(words)}
+
+    sets = [(i, shingles(t)) for i, t in rows]
+    top = list(range(len(sets)))
+
+    def find(a):
+        while top[a] != a:
+            a = top[a]
+        return a
+
+    for a, (_, x) in enumerate(sets):
+        for b in range(a):
+            y = sets[b][1]
+            if 100 * len(x & y) >= 80 * len(x | y):
+                top[find(a)] = find(b)
+    groups = {}
+    for a, (i, _) in enumerate(sets):
+        groups.setdefault(find(a), []).append((i is None, i or 0))
+    return sorted(min(g) for g in groups.values())
+
+
+def test_run_against_brute_force(spark, folder):
+    """Each stage on what its predecessor kept: sets compared pair by pair, expressions and whole encodings done plainly."""
+    docs = spark.read.parquet(f"{folder}/documents.parquet").filter("doc_id is null or doc_id <> 4")  # the longest text is too long for all pairs
+    stages = dict(corpus_pipeline.STAGES)
+    language = staged(stages["language"](spark, docs, folder), "language")
+    unique = staged(stages["near-duplicates"](spark, language, folder), "unique")
+    rows = [(r["doc_id"], r["text"]) for r in language.collect()]
+    assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in unique.collect()) == plain_duplicates(rows)
+    clean = staged(stages["secrets"](spark, unique, folder), "clean")
+    before = {r["doc_id"]: r["text"] for r in unique.collect()}
+    secret = re.compile(r"(?i:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]{6,})")
+    for r in clean.collect():
+        assert r["text"] == secret.sub(lambda m: m.group()[:m.start(1) - m.start()] + "[REDACTED]", before[r["doc_id"]])
+    mixed = staged(stages["mixing"](spark, clean, folder), "mixed")
+    texts, words = {r["doc_id"]: r["text"] for r in clean.collect()}, Counter()
+    for r in clean.collect():
+        words[r["source"]] += len((r["text"] or "").split())
+    taken = Counter()
+    for r in mixed.collect():
+        assert r["text"] == texts[r["doc_id"]]
+        taken[r["source"]] += len(r["text"].split())
+    targets = mixing.weighted_quotas(words)
+    assert all(abs(taken[s] - t) <= 80 for s, t in targets.items())  # a text has 80 words at most, but for a few
+    packed = stages["packing"](spark, mixed, folder).collect()
+    plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    whole = Counter((r["doc_id"], zlib.crc32(np.array([*plain.encode(r["text"], add_special_tokens=False).ids, 0], "<u4").tobytes())) for r in mixed.collect())
+    assert Counter((r["doc_id"], r["ids_crc32"]) for r in packed if r["length"] == r["doc_tokens"]) == whole
+    spots = {}
+    for r in packed:
+        spots.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    assert all(sum(n for _, n in x) <= 1024 and [a for a, _ in sorted(x)] == [sum(n for _, n in sorted(x)[:k]) for k in range(len(x))] for x in spots.values())
+
+
 def test_run_equals_the_stages(spark, folder):
     rows = corpus_pipeline.run(spark, folder)
     again = corpus_pipeline.run(spark, folder)
