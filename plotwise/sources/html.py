@@ -62,13 +62,18 @@ def first_element_text(html: Column, tag: str, css_class: str | None = None) ->
         attrs = (rf"""\s[^>]*?class\s*=\s*(?:"(?:[^">]*\s)?{css_class}(?:\s[^">]*)?"|'(?:[^'>]*\s)?{css_class}(?:\s[^'>]*)?'"""
                  rf"""|{css_class}(?=[\s>]))[^>]*""")
     begin = rf"(?is)<{tag}{attrs}>"
-    pattern = rf"{begin}(.*?)</{tag}\s*>"
     seen = F.when(F.contains(html, F.lit("<!--")), F.regexp_replace(html, r"(?s)<!--.*?-->", "")).otherwise(html)
-    inner = F.regexp_extract(seen, pattern, 1)
-    nested = inner.rlike(rf"(?i)<{tag}[\s/>]")
-    opened = F.substr(seen, F.regexp_instr(seen, F.lit(begin)))
-    found = unescape(F.when(nested, _whole_text(opened, tag)).otherwise(F.regexp_replace(inner, r"<[^>]*>", "")))
-    return F.when(seen.rlike(pattern), found).otherwise(F.lit(fixed.NOT_FOUND))
+
+    def text_of(element: Column) -> Column:
+        # Most elements hold none of their kind, and end at the first end tag.
+        nested = element.rlike(rf"(?is)^<[^>]*>.*<{tag}[\s/>]")
+        opened = F.substr(seen, F.regexp_instr(seen, F.lit(begin)))
+        found = F.when(nested, _whole_text(opened, tag)).otherwise(F.regexp_replace(element, r"<[^>]*>", ""))
+        return F.when(element != "", unescape(found)).otherwise(F.lit(fixed.NOT_FOUND))
+
+    # An array of one, so that the page is searched once for it.
+    element = F.array(F.regexp_extract(seen, rf"{begin}.*?</{tag}\s*>", 0))
+    return F.coalesce(F.transform(element, text_of)[0], F.lit(fixed.NOT_FOUND))
 
 
 def parse_listings(pages: DataFrame, html: str = "html", source: str = fixed.HTML_SOURCE,
