@@ -39,7 +39,7 @@ from plotwise.session import staged
 
 ORDER = 4
 END = 255
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 32 << 20
 #: Bytes of text whose grams are held at once.
 SLICE_BYTES = 1 << 20
 #: Logarithms as whole numbers: of a node's weight, and of a gram's probability.
