@@ -42,7 +42,7 @@ def pieces(docs: DataFrame, vocabulary: str, end_id: int = 0, size: int = 1024,
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with tokens.encoder(vocabulary) as encoder:
-            for batch in slices(batches):
+            for batch in slices(batches, limit=tokens.ENCODED_BYTES):
                 bounds, ids = encoder.encode(batch.column("text"))
                 ids = np.insert(ids, bounds[1:], end_id).astype("<u4")
                 bounds = bounds + np.arange(len(bounds))

@@ -21,6 +21,9 @@ import pyarrow.compute as pc
 #: Bytes that an encoder may remember, by estimate; then it starts anew. A part's text, number and ids; a word's text and list.
 MEMORY, PART_BYTES, WORD_BYTES = 64 << 20, 180, 220
 
+#: Bytes of text to encode at once.
+ENCODED_BYTES = 1 << 20
+
 _LOADED: dict[tuple, "Parts"] = {}
 
 CUT, BLANK = "\x00", "\u0120"
