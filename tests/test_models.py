@@ -143,3 +143,10 @@ def test_levels_of_the_test_side_stay_unknown(homes):
     only_test = features.with_split(rows).withColumn("zone", F.when(F.col("is_train"), F.col("zone")).otherwise(F.lit("Elsewhere"))).drop("is_train")
     trained = train.train_and_evaluate(only_test, SMALL, names=[train.LINEAR], levels_from_train=True)
     assert set(trained.model.levels["zone"]) == {"CBD", "Outer"}
+
+
+def test_no_part_grows_with_the_table():
+    most, least = train.MOST_ROWS, train.PART_ROWS
+    assert train.parts_for(100 * most, have=3, cores=12) == 100 and train.parts_for(4 * most, have=3, cores=12) == 12
+    assert train.parts_for(10 * least, have=3, cores=12) == 10 and train.parts_for(1, have=8, cores=8) == 1 and train.parts_for(0, 4, 8) == 1
+    assert train.parts_for(50 * least, have=30, cores=8) == 30
