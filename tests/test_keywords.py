@@ -63,3 +63,14 @@ def test_columns_of_a_page_are_read_for_its_rows_only(spark, tmp_path):
     assert set(index.keys.columns) == {"id", "price_thb", "_slice"}
     plan = index.page(rows, 3, 5)._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [In(id" in plan
+
+
+def test_keywords_that_repeat_are_met_once(spark):
+    """Copies of a keyword under other ranks and in other cases make no more pairs, and pairs are not sorted."""
+    words = [(w.upper() if i % 2 else w, 5000 - 7 * i) for i in range(60) for w in ("abc", "bcd", "xyz", "q")]
+    texts = ["an abcd", "XYZ", "q", "none", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, title string")
+    found = keywords.with_first_keyword(df, "title", spark.createDataFrame(words, "keyword string, rank long"), max_keywords=20)
+    assert [r["found"] for r in found.orderBy("id").collect()] == [plain(t, words) for t in texts]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and plan.count("BroadcastHashJoin") >= 2
