@@ -241,3 +241,19 @@ def test_similar_prices_within_a_block(spark):
     df = spark.createDataFrame(rows, "id long, title string, place string, price double")
     kept = {r["id"] for r in dedup.keep_first_similar(df, "title", "place", "price", ["id"]).collect()}
     assert kept == {1, 5, 6, 7, 8, 11, 12}
+
+
+def test_rows_meet_marked_positions(spark):
+    """Positions of any sign and distance, far more than are sent one by one, without a shuffle of the rows."""
+    at = [0, 1, 63, 64, 65, 4095, 4096, -1, -64, -4097, 2 ** 40 + 5, 2 ** 62, *range(9000, 9300, 3)]
+    rows = spark.createDataFrame([(p, f"row {p}") for p in [*at, *[p + 2 for p in at]]] + [(None, "none")], "p long, x string").distinct().localCheckpoint()
+    marks = spark.createDataFrame([(p,) for p in at] + [(None,)], "p long")
+    held = dedup.within(rows, "p", marks)
+    assert sorted(r.p for r in held.collect()) == sorted(set(at)) and held.columns == ["p", "x"]
+    wanted = sorted([p + 2 for p in at if p + 2 not in at]) + [None]
+    for sent, pages in ((1000, 1000), (0, 1000), (0, 0)):
+        left = dedup.without(rows, "p", marks.dropna(), sent, pages)
+        assert sorted((r.p for r in left.collect()), key=lambda p: (p is None, p or 0)) == wanted
+    assert sorted(r.p for r in dedup.within(rows, "p", marks, 0).collect()) == sorted(set(at))
+    assert "Exchange hashpartitioning" not in dedup.without(rows, "p", marks, 0)._jdf.queryExecution().executedPlan().toString()
+    assert dedup.within(rows, "p", marks.limit(0)).isEmpty()
