@@ -1,7 +1,7 @@
 """Quality rules: counts of a text's words and lines, and a hashed n-gram log-likelihood ratio.
 
 Two multinomials over hashed character n-grams are counted: one over all documents, one over
-a trusted sample. A document's score is the mean over its n-grams of the log ratio of the
+all trusted ones. A document's score is the mean over its n-grams of the log ratio of the
 two, so length does not matter; it is kept if the score reaches a threshold that nearly all
 trusted documents reach, and if it breaks no base rule. Counts over all documents are summed
 per task and bucket, so what moves is the number of buckets and not the number of words.
@@ -21,12 +21,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plotwise.llm import learning, ngrams
+from plotwise.llm import ngrams
 from plotwise.llm.common import buffers, columns, mixed, records, segment_sums, ship, slices, split_words
+from plotwise.operators.quantiles import exact_quantiles
+from plotwise.session import staged
 
 ORDERS, BITS = (2, 3), 16
-#: Trusted documents at most, by a hash of their ids.
-TRUSTED_ROWS = 20_000
+#: Ids of trusted documents that every task may hold; texts meet more by a shuffled join.
+MAX_SENT = 2_000_000
 #: Part of the trusted documents that may fall below the threshold, and the room below that.
 TRUSTED_LOSS, SLACK = 0.002, 0.2
 
@@ -159,23 +161,30 @@ class Judge:
         self.ratio, self.threshold = ratio, threshold
 
 
-def learn(docs: DataFrame, trusted_ids: DataFrame, id_column: str = "doc_id", text_column: str = "text",
-          rows: int = TRUSTED_ROWS, seed: int = 5) -> Judge:
-    """Count both multinomials. ``trusted_ids`` has the ids of trusted documents as ``doc_id``."""
+def trusted_texts(docs: DataFrame, trusted_ids: DataFrame, max_sent: int = MAX_SENT) -> DataFrame:
+    """Texts of all rows with a trusted id. Texts that were shuffled for it are written down, as they are read twice."""
+    ids = staged(trusted_ids.select(F.col("doc_id").cast(docs.schema["doc_id"].dataType).alias("doc_id")).dropna().distinct(), "trusted")
+    texts = docs.select("doc_id", "text").filter("text is not null")
+    if ids.count() <= max_sent:
+        return texts.join(F.broadcast(ids), "doc_id", "left_semi").select("text")
+    return staged(texts.join(ids, "doc_id", "left_semi").select("text"), "trusted")
+
+
+def learn(docs: DataFrame, trusted_ids: DataFrame, id_column: str = "doc_id", text_column: str = "text", max_sent: int = MAX_SENT) -> Judge:
+    """Count both multinomials, and find the threshold on all trusted texts. ``trusted_ids`` has the ids of trusted documents as ``doc_id``."""
     spark = ship(docs.sparkSession)
     docs = columns(docs, doc_id=id_column, text=docs[text_column].cast("string"))
-    chosen = learning.pick(trusted_ids.select("doc_id").filter("doc_id is not null").distinct().withColumn("label", F.lit(1)), "label", rows, seed)
-    sample = learning.sample_texts(docs, chosen, F.col("text"), "trusted", "label", rows, seed).select("text", "copies")
-    ratio = spark.sparkContext.broadcast(log_ratio(bucket_counts(sample), bucket_counts(docs.select("text"))))
+    trusted = trusted_texts(docs, trusted_ids, max_sent)
+    ratio = spark.sparkContext.broadcast(log_ratio(bucket_counts(trusted), bucket_counts(docs.select("text"))))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            yield pa.RecordBatch.from_arrays([pa.array(mean_ratio(batch.column("text"), ratio.value)), batch.column("copies")], names=["score", "copies"])
+            yield pa.RecordBatch.from_arrays([pa.array(mean_ratio(batch.column("text"), ratio.value))], names=["score"])
 
     # Short texts are left to the base rules.
-    scores = sample.filter(F.length("text") >= 200).mapInArrow(score, "score double, copies long").toArrow()
-    threshold = quantile(np.asarray(scores.column("score")), np.asarray(scores.column("copies")), TRUSTED_LOSS) - SLACK if len(scores) else -np.inf
-    return Judge(ratio.value, threshold)
+    scores = staged(trusted.filter(F.length("text") >= 200).mapInArrow(score, "score double"), "scores")
+    found = exact_quantiles(scores, "score", {"low": TRUSTED_LOSS}).first()
+    return Judge(ratio.value, found["low"] - SLACK if found and found["low"] is not None else -np.inf)
 
 
 def judge(docs: DataFrame, by: Judge, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

@@ -94,3 +94,15 @@ def test_copies_count_like_repeated_rows(spark):
     values, copies = np.array([3.0, 1.0, 2.0]), np.array([2, 5, 1])
     for part in (0, 0.002, 0.3, 0.8, 1):
         assert quality.quantile(values, copies, part) == pytest.approx(np.quantile(np.repeat(values, copies), part))
+
+
+def test_every_trusted_text_counts(spark):
+    """With all documents trusted both multinomials are the same, however many there are; and ids sent or shuffled give one result."""
+    docs = spark.range(20_600).selectExpr("id AS doc_id", "concat('w', id, ' x', id % 977, repeat(' line', CAST(id % 60 AS INT))) AS text")
+    by = quality.learn(docs, docs.select("doc_id"))
+    assert not by.ratio.any() and by.threshold == pytest.approx(-quality.SLACK)
+    some = docs.select("doc_id").filter("doc_id % 3 = 0")
+    sent, shuffled = quality.learn(docs, some), quality.learn(docs, some, max_sent=0)
+    assert (sent.ratio == shuffled.ratio).all() and sent.threshold == pytest.approx(shuffled.threshold)
+    long = docs.join(some, "doc_id").filter("length(text) >= 200").toArrow().column("text").combine_chunks()
+    assert sent.threshold == pytest.approx(np.quantile(quality.mean_ratio(long, sent.ratio), quality.TRUSTED_LOSS) - quality.SLACK, abs=1e-6)
