@@ -22,6 +22,8 @@ ONE_IN, MOST = 8, 3
 # Prices are compared by their logarithms, where equal distances may differ by rounding.
 SLACK = 1e-9
 SET = ["place", "size", "a", "b"]
+# Rows that one task sorts for its windows, about.
+WINDOW_ROWS = 400_000
 
 
 def words_of(title: Column) -> Column:
@@ -48,12 +50,13 @@ def word_sets(words: Column) -> Column:
     return F.transform(F.concat(*found), lambda s: s.dropFields("next"))
 
 
-def earliest_near(firsts: DataFrame, tolerance: float) -> DataFrame:
+def earliest_near(firsts: DataFrame, tolerance: float, parts: int) -> DataFrame:
     """For each price of a set, the earliest row among the set's prices within the tolerance.
 
     ``firsts`` has ``SET``, ``price``, and ``first``. Prices lie in bands as wide as the tolerance on a
     logarithmic scale: all of a price's own band are near, and of the two beside it those up to
-    one place, which a running minimum answers. A band is one window, of different prices only.
+    one place, which a running minimum answers. A band is one window, of different prices only. The bands
+    are dealt into ``parts``, so that what a task sorts does not grow with the table.
     """
     near = math.log(1 + tolerance)
     width, reach = near + 2 * SLACK, near + SLACK
@@ -63,7 +66,7 @@ def earliest_near(firsts: DataFrame, tolerance: float) -> DataFrame:
         F.struct(F.lit(0).alias("side"), F.col("band").alias("in"), F.col("at").alias("x"), F.col("first").alias("entry")),
         F.struct(F.lit(1).alias("side"), (F.col("band") - 1).alias("in"), (F.col("at") - reach).alias("x"), F.lit(None).cast(firsts.schema["first"].dataType).alias("entry")),
         F.struct(F.lit(2).alias("side"), (F.col("band") + 1).alias("in"), (F.col("at") + reach).alias("x"), F.lit(None).cast(firsts.schema["first"].dataType).alias("entry"))))
-    rows = priced.select(*SET, "price", asked.alias("q")).select(*SET, "price", "q.*")
+    rows = priced.select(*SET, "price", asked.alias("q")).select(*SET, "price", "q.*").repartition(parts, *SET, "in")
     band = Window.partitionBy(*SET, "in")
     up = band.orderBy(F.col("x").asc(), "side").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     down = band.orderBy(F.col("x").desc(), "side").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -83,7 +86,7 @@ def kept_positions(rows: DataFrame, position: str, title: str, place: str, price
     titled = keep_first(listed.filter(~plain), ["place", F.array_sort("words"), "price"], ["at"])
     entries = staged(titled.select("at", "price", "place", F.explode(word_sets(F.col("words"))).alias("s")).select("at", "price", "place", "s.*"), "word-sets")
     firsts = entries.groupBy(*SET, "price").agg(F.min("at").alias("first"))
-    near = earliest_near(firsts, tolerance)
+    near = earliest_near(firsts, tolerance, -(-3 * entries.count() // WINDOW_ROWS) or 1)
     e, n = entries.alias("e"), near.alias("n")
     same = F.col("e.price").eqNullSafe(F.col("n.price"))
     for c in SET:

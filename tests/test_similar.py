@@ -1,4 +1,5 @@
 import random
+import re
 from math import log
 
 import pytest
@@ -92,3 +93,16 @@ def test_word_sets(spark, size, gone):
     df = spark.createDataFrame([([f"w{i}" for i in range(size)],)], "words array<string>")
     sets = df.select(F.explode(similar.word_sets(F.col("words"))).alias("s")).select("s.*").collect()
     assert len(sets) == len(set(sets)) == sum(comb(size, k) for k in range(gone + 1))
+
+
+def test_windows_are_dealt_by_their_rows(spark, monkeypatch):
+    """Each part of the windows has a bounded number of rows, however many there are, with the same rows kept."""
+    table = spark.range(400).selectExpr("id AS pos", "concat('a b c d e f g lot', id % 90) AS title", "concat('p', id % 3) AS place", "100.0 + id % 37 AS price").localCheckpoint()
+    want = {r.pos for r in similar.drop_similar(table, "pos", "title", "place", "price", ["pos"]).collect()}
+    monkeypatch.setattr(similar, "WINDOW_ROWS", 100)
+    kept = similar.kept_positions(table, "pos", "title", "place", "price", ["pos"], 0.05)
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan and len(want) < 400
+    counts = [int(n) for n in re.findall(r"in#\d+L?, (\d+)\), REPARTITION_BY_NUM", plan)]
+    assert counts and 10 < max(counts) <= 3 * 9 * 400 // 100
+    assert {r.pos for r in kept.collect()} == want
