@@ -64,6 +64,18 @@ def test_save_load_and_score(spark, trained, tmp_path):
     assert rule.predicted_price == 50 * 120000 * 1.5 and rule.model_info == "Estimated (model not loaded)"
 
 
+def in_order(df, columns):
+    parts = df.select(*columns).rdd.glom().collect()
+    return len(parts), all(part == sorted(part) for part in parts)
+
+
+def test_trees_grow_from_rows_in_order(homes, monkeypatch):
+    monkeypatch.setattr(train, "PART_ROWS", 200)
+    grown = train.train_and_evaluate(features.training_table(homes), SMALL, names=[train.FOREST])
+    parts, ordered = in_order(grown.scored, [*features.CATEGORICAL, *features.NUMERIC, "id"])
+    assert parts == 8 and ordered and grown.scored.count() + features.with_split(features.training_table(homes)).filter("is_train").count() == 1470
+
+
 def test_split_ignores_partitioning(homes):
     a = features.with_split(homes).filter("is_train").select("id")
     b = features.with_split(homes.repartition(7)).filter("is_train").select("id")
