@@ -76,6 +76,15 @@ def test_trees_grow_from_rows_in_order(homes, monkeypatch):
     assert parts == 8 and ordered and grown.scored.count() + features.with_split(features.training_table(homes)).filter("is_train").count() == 1470
 
 
+def test_trees_score_in_every_core_and_in_order(homes):
+    forest = train.train_and_evaluate(features.training_table(homes), SMALL, names=[train.FOREST]).model
+    inputs = homes.select("id", "area_sqm", "zone", "property_type").coalesce(1)
+    scored = train.score(inputs, forest)
+    assert in_order(scored, ["zone", "property_type", "area_sqm"]) == (8, True)
+    want = forest.transform(train.complete_inputs(inputs)).select("id", "prediction").collect()
+    assert sorted(map(tuple, scored.select("id", "predicted_price").collect())) == sorted(map(tuple, want))
+
+
 def test_split_ignores_partitioning(homes):
     a = features.with_split(homes).filter("is_train").select("id")
     b = features.with_split(homes.repartition(7)).filter("is_train").select("id")
