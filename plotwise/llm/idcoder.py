@@ -32,6 +32,9 @@ TOP_CONFIDENCE = 15
 HEAD = struct.Struct("<4sIIIIII")  # mark, ids, lanes, alphabet, words, crc of the ids, crc of the rest
 MARK = b"IDB1"
 
+#: What is added to a confidence, by 16 * hit + confidence.
+CHANGE = np.array([-((c + 1) >> 1) for c in range(TOP_CONFIDENCE + 1)] + [1] * TOP_CONFIDENCE + [0], np.int32)
+
 
 class Model:
     """Predictions of all lanes for their next ids. ``grid`` holds the ids of the steps so far."""
@@ -41,10 +44,12 @@ class Model:
         self.step = self.counted = 0
         self.seen = np.zeros(alphabet, np.int64)
         # A predicted id and its confidence share a number: id * 16 + confidence.
-        self.table1 = np.zeros(alphabet, np.uint32)
-        self.table2 = np.zeros(1 << HASH_BITS, np.uint32)
+        self.table1 = np.zeros(alphabet, np.int32)
+        self.table2 = np.zeros(1 << HASH_BITS, np.int32)
         self.votes = np.ones((TOP_CONFIDENCE + 1) ** 2 * 3, np.int64)
-        self.last = self.before = np.zeros(grid.shape[1], np.uint32)
+        # Ids are at hand as places too, as arrays are read faster by those.
+        self.last = self.before = np.zeros(grid.shape[1], np.int32)
+        self.last_at = np.zeros(grid.shape[1], np.intp)
         self.refresh_ids()
         self.refresh_mix()
 
@@ -61,8 +66,8 @@ class Model:
 
     def id_at(self, slot: np.ndarray) -> np.ndarray:
         if self.slots is None:
-            self.slots = np.repeat(np.arange(self.alphabet, dtype=np.uint32), self.size0.astype(np.int64))
-        return self.slots[slot.astype(np.int64)]
+            self.slots = np.repeat(np.arange(self.alphabet, dtype=np.int32), self.size0.astype(np.int64))
+        return self.slots.take(slot)
 
     def refresh_mix(self) -> None:
         votes = self.votes.reshape(-1, 3)
@@ -71,22 +76,27 @@ class Model:
         self.weight = sizes.ravel().astype(np.uint64)
         self.start = (np.cumsum(sizes, axis=1) - sizes).ravel().astype(np.uint64) << np.uint64(ID_BITS)
         self.size = self.weight << np.uint64(ID_BITS)
+        self.first = self.start.view(np.int64)
 
     def predict(self) -> None:
-        self.at2 = (self.before * np.uint32(0x9E3779B1) ^ self.last * np.uint32(0x85EBCA6B)) >> np.uint32(32 - HASH_BITS)
-        self.had2, self.had1 = self.table2[self.at2], self.table1[self.last]
-        self.id2, self.id1 = self.had2 >> np.uint32(4), self.had1 >> np.uint32(4)
-        self.sure2, self.sure1 = self.had2 & np.uint32(15), self.had1 & np.uint32(15)
-        self.context = (self.sure2 * np.uint32(3 * (TOP_CONFIDENCE + 1)) + self.sure1 * np.uint32(3)).astype(np.int64)
-
-    def learn(self, ids: np.ndarray, choice: np.ndarray) -> None:
-        fresh = ids << np.uint32(4) | np.uint32(1)
-        for table, at, had, id_, sure in ((self.table2, self.at2, self.had2, self.id2, self.sure2),
-                                          (self.table1, self.last, self.had1, self.id1, self.sure1)):
-            less = np.where(sure > 0, had - ((sure + np.uint32(1)) >> np.uint32(1)), fresh)
-            table[at] = np.where(id_ == ids, had + (sure < TOP_CONFIDENCE), less)
-        self.votes += 4 * np.bincount(self.context + choice, minlength=len(self.votes))
-        self.before, self.last = self.last, ids
+        self.at2 = ((self.before.view(np.uint32) * np.uint32(0x9E3779B1) ^ self.last.view(np.uint32) * np.uint32(0x85EBCA6B))
+                    >> np.uint32(32 - HASH_BITS)).astype(np.intp)
+        self.had2, self.had1 = self.table2.take(self.at2), self.table1.take(self.last_at)
+        self.id2, self.id1 = self.had2 >> 4, self.had1 >> 4
+        self.sure2, self.sure1 = self.had2 & 15, self.had1 & 15
+        self.context = (((self.sure2 << 4) + self.sure1) * 3).astype(np.intp)
+
+    def learn(self, ids: np.ndarray, ids_at: np.ndarray, at: np.ndarray) -> None:
+        """The ids of this step, and the places of their votes."""
+        fresh = ids << 4 | 1
+        for table, where, had, id_, sure in ((self.table2, self.at2, self.had2, self.id2, self.sure2),
+                                             (self.table1, self.last_at, self.had1, self.id1, self.sure1)):
+            case = sure + ((id_ == ids).view(np.int8) << np.int8(4))
+            had += CHANGE.take(case)
+            np.copyto(had, fresh, where=case == 0)
+            table[where] = had
+        self.votes += 4 * np.bincount(at, minlength=len(self.votes))
+        self.before, self.last, self.last_at = self.last, ids, ids_at
         self.grid[self.step] = ids
         self.step += 1
         if self.step < 8 or self.step % 4 == 0:
@@ -101,6 +111,11 @@ def layout(n: int, lanes: int) -> tuple[int, int]:
     return lanes, -(-n // lanes)
 
 
+def quotient(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whole quotients by floating point: exact below 2^28 for ``a`` below 2^48 and ``b`` from 1 to 2^20, as others are 2^-20 off a whole number."""
+    return (a.view(np.int64) / b.view(np.int64)).astype(np.int64)
+
+
 class Coder:
     """The state of all lanes."""
 
@@ -109,22 +124,23 @@ class Coder:
 
     def narrow(self, unit: np.ndarray, start: np.ndarray, size: np.ndarray) -> None:
         low, width = self.low, self.range
-        low += unit * start
+        start *= unit
+        low += start
         np.multiply(unit, size, out=width)
-        rows = None
+        rows, part, wide = None, low, width
         while True:
-            settled = (low ^ (low + width)) < SETTLED if rows is None else (low[rows] ^ (low[rows] + width[rows])) < SETTLED
-            out = settled | ((width if rows is None else width[rows]) < LEAST)
-            pick = np.flatnonzero(out)
+            settled = part + wide
+            settled ^= part
+            settled = settled < SETTLED
+            pick = np.flatnonzero(settled | (wide < LEAST))
             if not len(pick):
                 return
-            settled = settled[pick]
-            rows = pick if rows is None else rows[pick]
-            part = low[rows]
-            wide = np.where(settled, width[rows], -part & (LEAST - np.uint64(1)))
-            width[rows] = wide << np.uint64(16)
-            low[rows] = (part << np.uint64(16)) & STATE
+            rows = pick if rows is None else rows.take(pick)
+            settled, part, wide = settled.take(pick), part.take(pick), wide.take(pick)
             self.shift(rows, part)
+            wide = np.where(settled, wide, -part & (LEAST - np.uint64(1))) << np.uint64(16)
+            part = (part << np.uint64(16)) & STATE
+            width[rows], low[rows] = wide, part
 
 
 class Encoder(Coder):
@@ -156,12 +172,13 @@ class Decoder(Coder):
         self.next = at + 3
 
     def shift(self, pick: np.ndarray, low: np.ndarray) -> None:
-        self.value[pick] = ((self.value[pick] << np.uint64(16)) & STATE) | self.words[self.next[pick]]
-        self.next[pick] += 1
+        at = self.next.take(pick)
+        self.value[pick] = ((self.value.take(pick) << np.uint64(16)) & STATE) | self.words.take(at)
+        self.next[pick] = at + 1
 
     def slot(self) -> tuple[np.ndarray, np.ndarray]:
         unit = self.range >> np.uint64(BITS)
-        return unit, np.minimum((self.value - self.low) // unit, np.uint64((1 << BITS) - 1))
+        return unit, np.minimum(quotient(self.value - self.low, unit), (1 << BITS) - 1)
 
 
 def encode_block(ids: np.ndarray, lanes: int = LANES) -> bytes:
@@ -170,21 +187,23 @@ def encode_block(ids: np.ndarray, lanes: int = LANES) -> bytes:
     if alphabet > 1 << (ID_BITS - 1):
         raise ValueError(f"ids must be below {1 << (ID_BITS - 1)}")
     lanes, steps = layout(n, lanes)
-    flat = np.zeros(lanes * steps, np.uint32)
+    flat = np.zeros(lanes * steps, np.int32)
     flat[:n] = ids
     rows = np.ascontiguousarray(flat.reshape(lanes, steps).T)
     model, coder = Model(alphabet, np.empty_like(rows)), Encoder(lanes)
     for row in rows:
         model.predict()
-        choice = np.where(row == model.id2, 0, np.where(row == model.id1, 1, 2))
-        at = model.context + choice
-        start, size = model.start[at], model.size[at]
-        rest = np.flatnonzero(choice == 2)
-        weight = model.weight[at[rest]]
-        start[rest] += weight * model.start0[row[rest]]
-        size[rest] = weight * model.size0[row[rest]]
+        row_at, missed = row.astype(np.intp), row != model.id2
+        new = missed & (row != model.id1)
+        at = model.context + missed
+        at += new
+        start, size = model.start.take(at), model.size.take(at)
+        rest = np.flatnonzero(new)
+        weight, ids_at = model.weight.take(at.take(rest)), row_at.take(rest)
+        start[rest] += weight * model.start0.take(ids_at)
+        size[rest] = weight * model.size0.take(ids_at)
         coder.narrow(coder.range >> np.uint64(BITS), start, size)
-        model.learn(row, choice)
+        model.learn(row, row_at, at)
     words, counts = coder.finish()
     body = counts.astype("<u4").tobytes() + words.tobytes()
     return HEAD.pack(MARK, n, lanes, alphabet, len(words), zlib.crc32(ids.astype("<u4").tobytes()), zlib.crc32(body)) + body
@@ -206,25 +225,27 @@ def decode_block(block: bytes) -> np.ndarray:
     counts = np.frombuffer(block, "<u4", lanes, HEAD.size).astype(np.int64)
     words = np.frombuffer(block, "<u2", -1, HEAD.size + 4 * lanes)
     steps = -(-n // lanes)
-    grid = np.zeros((steps, lanes), np.uint32)
+    grid = np.zeros((steps, lanes), np.int32)
     model, coder = Model(alphabet, grid), Decoder(words, counts)
     for _ in range(steps):
         model.predict()
         unit, value = coder.slot()
-        choice = (value >= model.start[model.context + 1]).astype(np.int64)
-        choice += value >= model.start[model.context + 2]
-        at = model.context + choice
-        start, size = model.start[at], model.size[at]
-        row = np.where(choice == 0, model.id2, model.id1)
-        rest = np.flatnonzero(choice == 2)
-        weight = model.weight[at[rest]]
-        found = model.id_at((value[rest] - start[rest]) // weight)
+        missed = value >= model.first.take(model.context + 1)
+        new = value >= model.first.take(model.context + 2)
+        at = model.context + missed
+        at += new
+        start, size = model.start.take(at), model.size.take(at)
+        row = np.where(missed, model.id1, model.id2)
+        rest = np.flatnonzero(new)
+        at_rest = at.take(rest)
+        weight = model.weight.take(at_rest)
+        found = model.id_at(quotient(value.take(rest) - model.first.take(at_rest), weight))
         row[rest] = found
-        start[rest] += weight * model.start0[found]
-        size[rest] = weight * model.size0[found]
+        start[rest] += weight * model.start0.take(found)
+        size[rest] = weight * model.size0.take(found)
         coder.narrow(unit, start, size)
-        model.learn(row, choice)
-    ids = np.ascontiguousarray(grid.T).ravel()[:n]
+        model.learn(row, row.astype(np.intp), at)
+    ids = np.ascontiguousarray(grid.T).ravel()[:n].astype(np.uint32)
     if zlib.crc32(ids.astype("<u4").tobytes()) != crc_ids:
         raise ValueError("a block's ids differ from its checksum")
     return ids

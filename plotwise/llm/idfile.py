@@ -110,11 +110,11 @@ def write_ids(docs: DataFrame, vocabulary: str, end_id: int, folder: str, id_col
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         writer = Writer(pafs_folder, TaskContext.get().partitionId(), block_ids, lanes)
-        with tokens.encoder(vocabulary) as encoder:
-            for batch in slices(batches, limit=tokens.ENCODED_BYTES):
-                bounds, ids = encoder.encode(batch.column("text"))
-                ids = np.insert(ids, bounds[1:], end_id)
-                writer.add(batch.column("doc_id"), bounds + np.arange(len(bounds)), ids)
+        encoder = tokens.encoder(vocabulary)  # the worker's next task finds the words that this one met
+        for batch in slices(batches):
+            bounds, ids = encoder.encode(batch.column("text"))
+            ids = np.insert(ids, bounds[1:], end_id)
+            writer.add(batch.column("doc_id"), bounds + np.arange(len(bounds)), ids)
         writer.close()
         if writer.done:
             yield pa.RecordBatch.from_pylist([dict(zip(MANIFEST.names, x, strict=True)) for x in writer.done], MANIFEST)

@@ -5,10 +5,15 @@ break. So a text is cut there, each distinct part goes through the tokenizer onc
 worker, and the ids of a text are put together from its parts. Where the cut could
 differ from the tokenizer's own (two white spaces side by side, or the text of a special
 token), the whole text goes through the tokenizer.
+
+A vocabulary that folds case and drops white space needs no such cut: its words are found
+by tables of characters in all bytes of many texts at once, and each distinct word goes
+through the vocabulary's model. Runs with a character outside the tables go through the tokenizer.
 """
 
 from __future__ import annotations
 
+import functools
 import json
 import os
 import re
@@ -18,7 +23,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Bytes that an encoder may remember, by estimate; then it starts anew. A part's text, number and ids; a word's text and list.
+from plotwise.llm.common import buffers
+
+#: Bytes that an encoder may remember, by estimate (of words twice that); then it starts anew. A part's text, number and ids; a word's text and list.
 MEMORY, PART_BYTES, WORD_BYTES = 64 << 20, 180, 220
 
 #: Bytes of text to encode at once.
@@ -28,12 +35,14 @@ _LOADED: dict[tuple, "Parts"] = {}
 
 CUT, BLANK = "\x00", "\u0120"
 #: White space next to white space, or a character that marks cuts.
+NEVER = r"$."
 UNSAFE = r"[\s\x0b\x1c-\x1f\x{85}\pZ][\s\x0b\x1c-\x1f\x{85}\pZ]|\x00"
 
 # How the two kinds of vocabulary file normalise and split, as the files state it, and
 # the same splitting for the code points below U+0180 (without U+0130), where letters and digits are these.
 LETTER, DIGIT, SPACE = "A-Za-zªµºÀ-ÖØ-öø-ſ", "0-9²³¹¼½¾", "\\t-\\r \x85\xa0"
 ALIEN = re.compile("[^\\x00-ſ]|İ")
+FOREIGN = re.compile("[^\\t-\\r -~¡-ſ]|İ|[\\x0b\\x0c]")  # what the tables of words leave out
 ENDINGS = "'s|'t|'re|'ve|'m|'ll|'d"
 BYTE_LEVEL = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
 WORD_LEVEL = {"type": "Sequence", "pretokenizers": [
@@ -44,9 +53,82 @@ FOLDED = {"type": "Sequence", "normalizers": [
 SPLITS = {
     json.dumps([None, BYTE_LEVEL], sort_keys=True): re.compile(
         f"{ENDINGS}| ?[{LETTER}]+| ?[{DIGIT}]+| ?[^{SPACE}{LETTER}{DIGIT}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+").findall,
-    json.dumps([FOLDED, WORD_LEVEL], sort_keys=True): re.compile(
-        f"{ENDINGS}|[{LETTER}]+|[{DIGIT}]|[^{SPACE}{LETTER}{DIGIT}]+").findall,
 }
+FOLDING = json.dumps([FOLDED, WORD_LEVEL], sort_keys=True)
+
+
+BLANKS, LETTERS, DIGITS, OTHERS, FOREIGNERS = range(5)
+
+
+@functools.cache
+def word_tables() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Kind and lower case of each byte, and of the two bytes (as one number) of each character up to U+017F."""
+    kind, low = np.full(256, FOREIGNERS, np.uint8), np.arange(256, dtype=np.uint8)
+    kind2, low2 = np.full(1 << 16, FOREIGNERS, np.uint8), np.arange(1 << 16, dtype=np.uint16)
+    letter, digit = re.compile(f"[{LETTER}]").match, re.compile(f"[{DIGIT}]").match
+    for c in map(chr, range(0x180)):
+        of = BLANKS if c in "\t\n\r " else FOREIGNERS if FOREIGN.match(c) else LETTERS if letter(c) else DIGITS if digit(c) else OTHERS
+        code = int.from_bytes(c.encode())
+        if of == FOREIGNERS:
+            continue
+        (kind if c.isascii() else kind2)[code] = of
+        (low if c.isascii() else low2)[code] = int.from_bytes(c.lower().encode())
+    return kind, low, kind2, low2
+
+
+def folded_words(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """Offsets of each text's words, and the words of all texts in lower case, as ``WORD_LEVEL`` splits them.
+
+    Characters outside the tables are not split from what stands beside them, nor put in lower case.
+    """
+    at, raw = buffers(texts)
+    kinds, lows, kinds2, lows2 = word_tables()
+    kind, low = kinds[raw], lows[raw]
+    second = np.flatnonzero(raw >= 0x80)
+    if len(second):
+        first = second[(raw[second] >= 0xC2) & (raw[second] <= 0xC5)]
+        code = raw[first].astype(np.uint16) << 8 | raw[first + 1]
+        kind[first] = kind[first + 1] = kinds2[code]
+        folded = lows2[code]
+        low[first], low[first + 1] = folded >> 8, folded & 0xFF
+        second = first + 1
+    before = np.concatenate([[np.uint8(BLANKS)], kind[:-1]])
+    before[at[:-1][at[:-1] < len(raw)]] = BLANKS
+    real = kind != BLANKS
+    begin = real & ((kind != before) | (kind == DIGITS))
+    begin[second] = False
+    split_endings(begin, low, at)
+    if (kind == FOREIGNERS).any():  # runs between blanks that hold such a character are words as they are
+        run = real & (before == BLANKS)
+        number = np.cumsum(run)
+        odd = np.zeros(int(number[-1]) + 1, bool)
+        odd[number[kind == FOREIGNERS]] = True
+        inside = odd[number] & real
+        begin[inside], low[inside] = run[inside], raw[inside]
+    starts = np.flatnonzero(begin)
+    place = np.cumsum(real, dtype=np.int32)
+    ends = np.append(place[starts] - 1, place[-1] if len(place) else 0).astype(np.int32)
+    words = pa.Array.from_buffers(pa.string(), len(starts), [None, pa.py_buffer(ends), pa.py_buffer(low[real])])
+    return np.searchsorted(starts, at), words
+
+
+def split_endings(begin: np.ndarray, low: np.ndarray, at: np.ndarray) -> None:
+    """Where an apostrophe begins a word and 's or the like follows, the word is that."""
+    quote = np.flatnonzero((low == ord("'")) & begin)
+    if not len(quote):
+        return
+    end = at[np.searchsorted(at, quote, side="right")]  # of the text
+    next_ = np.concatenate([low, np.zeros(2, np.uint8)])
+    a, b = next_[quote + 1], next_[quote + 2]
+    for size in (2, 3):
+        fits = np.zeros(len(quote), bool)
+        for ending in ENDINGS.split("|"):
+            if len(ending) == size:
+                fits |= (a == ord(ending[1])) & (True if size == 2 else b == ord(ending[2]))
+        fits &= quote + size <= end
+        begin[quote[fits] + 1] = False
+        rest = quote[fits & (quote + size < end)] + size
+        begin[rest] = ~np.isin(low[rest], list(b"\t\n\r "))
 
 
 def byte_letters() -> dict[int, int]:
@@ -73,7 +155,7 @@ def piece_encoder(path: str) -> "PieceEncoder":
 class Parts:
     """Ids of texts, put together from parts that are encoded once. Used in a ``with`` block, it forgets them at its end."""
 
-    unsafe = UNSAFE
+    unsafe, memory = UNSAFE, MEMORY
 
     def __enter__(self):
         return self
@@ -116,12 +198,16 @@ class Parts:
         cut = pc.replace_substring(cut, "\n", CUT + "\n" + CUT)
         parts = pc.split_pattern(cut, CUT)
         bounds = np.asarray(parts.offsets, dtype=np.int64)
-        coded = parts.flatten().dictionary_encode()
+        return self.put_together(bounds - bounds[0], parts.flatten())
+
+    def put_together(self, bounds: np.ndarray, parts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Offsets of each text's ids, and all ids, from the texts' parts."""
+        coded = parts.dictionary_encode()
         distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         found = list(map(self.known.get, distinct))
         new = [p for p, at in zip(distinct, found, strict=True) if at is None]
         if new:
-            if self.cost > MEMORY:
+            if self.cost > self.memory:
                 self.forget()
                 new = distinct
             self.learn(new)
@@ -134,7 +220,7 @@ class Parts:
         ends = np.cumsum(sizes)
         ids = self.ids[np.repeat(self.starts[part] - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)]
         ends = np.concatenate([[0], ends])
-        return ends[bounds - bounds[0]], ids
+        return ends[bounds], ids
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Offsets of each text's ids, and all ids (uint32); null texts have none."""
@@ -158,14 +244,16 @@ class Encoder(Parts):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         kind = json.loads(self.tokenizer.to_str())
-        self.words = SPLITS.get(json.dumps([kind["normalizer"], kind["pre_tokenizer"]], sort_keys=True))
-        self.fold = kind["normalizer"] is not None
+        kind = json.dumps([kind["normalizer"], kind["pre_tokenizer"]], sort_keys=True)
+        self.words, self.folds = SPLITS.get(kind), kind == FOLDING
+        self.memory = 2 * MEMORY if self.folds else MEMORY
         self.byte, self.model = byte_letters(), self.tokenizer.model.tokenize
         if special:
             names = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-            self.unsafe = "|".join([UNSAFE, *("\\Q" + s + "\\E" for s in names)])
+            self.unsafe = "|".join([NEVER if self.folds else UNSAFE, *("\\Q" + s + "\\E" for s in names)])
         else:
             self.tokenizer.encode_special_tokens = True
+            self.unsafe = NEVER if self.folds else UNSAFE
         self.forget()
 
     def forget(self) -> None:
@@ -183,6 +271,8 @@ class Encoder(Parts):
 
     def ids_of(self, parts: list[str]) -> list[list[int]]:
         """Ids of parts. Where the vocabulary's own splitting is known, only its model runs, once per word."""
+        if self.folds:
+            return self.ids_of_words(parts)
         if self.words is None:
             return self.plain(parts)
         out: list[list[int]] = []
@@ -194,8 +284,6 @@ class Encoder(Parts):
                 late.append((len(out), part))
                 add([])
                 continue
-            if self.fold:
-                part = part.lower().strip(" ")
             if (part[1:] if part[:1] == " " else part).isalpha():  # a word by itself
                 add(known.get(part) or one(part, plain))
                 continue
@@ -211,6 +299,19 @@ class Encoder(Parts):
             out[place] = ids
         return out
 
+    def by_parts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        return self.put_together(*folded_words(texts)) if self.folds else super().by_parts(texts)
+
+    def ids_of_words(self, words: list[str]) -> list[list[int]]:
+        """Ids of words that are in lower case, or hold a foreign character."""
+        model, foreign, byte = self.model, FOREIGN.search, self.byte
+        out = [[t.id for t in model(word)] if word.isascii() and word.isprintable() else
+               None if foreign(word) else [t.id for t in model(word.encode().decode("latin-1").translate(byte))] for word in words]
+        late = [k for k, ids in enumerate(out) if ids is None]
+        for k, ids in zip(late, self.plain([words[k] for k in late]) if late else [], strict=True):
+            out[k] = ids
+        return out
+
     def one(self, word: str, plain: bool) -> list[int]:
         """Ids of one word, as the vocabulary's model sees it."""
         if plain and word.isprintable():

@@ -1,11 +1,13 @@
+import random
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from plotwise.llm import idcoder, idfile
+from plotwise.llm import idcoder, idfile, tokens
 
 WORD = public_tokenizers.path("word_bpe_49k.json")
 
@@ -72,3 +74,34 @@ def test_round_trip(odd, odd_rows, block_ids):
 
 def test_empty(empty):
     assert idfile.round_trip(empty, WORD, 2).collect() == []
+
+
+BITS = ["a", "B", "the", "'", "'s", "'RE", "'ll", "'t", "''", "'d1", "'v", " ", "  ", "\n", "\t", "\r\n", "\x0b", "\x1c", "\x00", "\x7f", "\x85",
+        "\xa0", "\xad", "\u3000", "é", "É", "Ÿ", "ß", "İ", "ı", "ſ", "ŉ", "ª", "²", "¼", "µ", "1", "23", "...", "-", "<|endoftext|>", "<|end", "e\u0301",
+        "\u0301", "I\u0307", "—", "’s", "漢字", "Ω", "😀", "K", "×", "À"]
+
+
+@pytest.mark.parametrize("special", [True, False])
+def test_words_are_those_of_the_library(special):
+    rng, plain, encoder = random.Random(7), Tokenizer.from_file(WORD), tokens.encoder(WORD, special)
+    plain.encode_special_tokens = not special
+    texts = ["x", None, "", *("".join(rng.choice(BITS) for _ in range(rng.randrange(14))) for _ in range(20_000))]
+    bounds, ids = encoder.encode(pa.array(texts).slice(1))
+    for k, text in enumerate(texts[1:]):
+        assert ids[bounds[k]:bounds[k + 1]].tolist() == plain.encode(text or "", add_special_tokens=False).ids, text
+
+
+def test_a_word_goes_through_the_model_once():
+    encoder, seen = tokens.Encoder(WORD), []
+    model, encoder.model = encoder.model, lambda word: (seen.append(word), model(word))[1]
+    texts = pa.array(["The tree, the TREE. (tree)  Él\n\ntree's", "a tree; él"])
+    first, again = encoder.encode(texts), encoder.encode(texts)
+    assert len(seen) == len(set(seen)) == 10 and (first[1] == again[1]).all()
+
+
+def test_quotients_are_whole():
+    rng = np.random.default_rng(6)
+    b = rng.integers(1, 1 << 20, 200_000).astype(np.uint64)
+    q = rng.integers(0, 1 << 28, len(b)).astype(np.uint64)
+    for rest in (np.zeros_like(b), b - np.uint64(1), rng.integers(0, b).astype(np.uint64)):
+        assert (idcoder.quotient(q * b + rest, b) == q.astype(np.int64)).all()
