@@ -17,7 +17,9 @@ import functools
 import json
 import os
 import re
+from array import array
 from itertools import chain
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
@@ -177,10 +179,13 @@ class Parts:
     def ids_of(self, parts: list[str]) -> list[list[int]]:
         raise NotImplementedError
 
-    def learn(self, parts: list[str]) -> None:
+    def sizes_and_ids(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         found = self.ids_of(parts)
         sizes = np.fromiter(map(len, found), np.int32, len(found))
-        ids = np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum()))
+        return sizes, np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum()))
+
+    def learn(self, parts: list[str]) -> None:
+        sizes, ids = self.sizes_and_ids(parts)
         first = len(self.known)
         while first + len(parts) > len(self.starts):
             self.starts, self.sizes = (np.concatenate([a, np.zeros_like(a)]) for a in (self.starts, self.sizes))
@@ -271,8 +276,6 @@ class Encoder(Parts):
 
     def ids_of(self, parts: list[str]) -> list[list[int]]:
         """Ids of parts. Where the vocabulary's own splitting is known, only its model runs, once per word."""
-        if self.folds:
-            return self.ids_of_words(parts)
         if self.words is None:
             return self.plain(parts)
         out: list[list[int]] = []
@@ -302,15 +305,26 @@ class Encoder(Parts):
     def by_parts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         return self.put_together(*folded_words(texts)) if self.folds else super().by_parts(texts)
 
-    def ids_of_words(self, words: list[str]) -> list[list[int]]:
-        """Ids of words that are in lower case, or hold a foreign character."""
-        model, foreign, byte = self.model, FOREIGN.search, self.byte
-        out = [[t.id for t in model(word)] if word.isascii() and word.isprintable() else
-               None if foreign(word) else [t.id for t in model(word.encode().decode("latin-1").translate(byte))] for word in words]
-        late = [k for k, ids in enumerate(out) if ids is None]
-        for k, ids in zip(late, self.plain([words[k] for k in late]) if late else [], strict=True):
-            out[k] = ids
-        return out
+    def sizes_and_ids(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Of words that are in lower case, or hold a foreign character."""
+        if not self.folds:
+            return super().sizes_and_ids(parts)
+        model, foreign, byte, id_of = self.model, FOREIGN.search, self.byte, attrgetter("id")
+        odd = [w for w in parts if not (w.isascii() and w.isprintable()) and foreign(w)]
+        late = dict(zip(odd, self.plain(odd) if odd else [], strict=True))
+        sizes, out = array("i"), array("I")
+        for word in parts:
+            if word.isascii() and word.isprintable():
+                got = model(word)
+            elif word in late:
+                sizes.append(len(late[word]))
+                out.extend(late[word])
+                continue
+            else:
+                got = model(word.encode().decode("latin-1").translate(byte))
+            sizes.append(len(got))
+            out.extend(map(id_of, got))
+        return np.array(sizes, np.int32), np.array(out, np.uint32)
 
     def one(self, word: str, plain: bool) -> list[int]:
         """Ids of one word, as the vocabulary's model sees it."""
