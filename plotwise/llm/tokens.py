@@ -36,8 +36,9 @@ ENCODED_BYTES = 1 << 20
 _LOADED: dict[tuple, "Parts"] = {}
 
 CUT, BLANK = "\x00", "\u0120"
-#: White space next to white space, or a character that marks cuts.
+#: Found in no text.
 NEVER = r"$."
+#: White space next to white space, or a character that marks cuts.
 UNSAFE = r"[\s\x0b\x1c-\x1f\x{85}\pZ][\s\x0b\x1c-\x1f\x{85}\pZ]|\x00"
 
 # How the two kinds of vocabulary file normalise and split, as the files state it, and
@@ -58,7 +59,7 @@ SPLITS = {
 }
 FOLDING = json.dumps([FOLDED, WORD_LEVEL], sort_keys=True)
 
-
+# Kinds of characters.
 BLANKS, LETTERS, DIGITS, OTHERS, FOREIGNERS = range(5)
 
 
