@@ -171,3 +171,25 @@ def test_no_part_grows_with_the_table():
     assert train.parts_for(100 * most, have=3, cores=12) == 100 and train.parts_for(4 * most, have=3, cores=12) == 12
     assert train.parts_for(10 * least, have=3, cores=12) == 10 and train.parts_for(1, have=8, cores=8) == 1 and train.parts_for(0, 4, 8) == 1
     assert train.parts_for(50 * least, have=30, cores=8) == 30
+
+
+def test_passes_end_in_a_whole_turn():
+    assert [train.whole_turns(p, 12) for p in (1, 8, 12, 13, 18, 24, 100)] == [1, 8, 12, 24, 24, 24, 108]
+
+
+def test_trees_grow_from_even_parts(homes, monkeypatch):
+    monkeypatch.setattr(train, "PART_ROWS", 20)
+    uneven = features.training_table(homes.filter("id >= 1320 or id % 50 = 1"))
+    grown = train.train_and_evaluate(uneven, SMALL, names=[train.FOREST])
+    sides = features.with_split(uneven)
+    sizes = [len(part) for part in grown.scored.select("id").rdd.glom().collect()]
+    assert uneven.rdd.getNumPartitions() == len(sizes) == 8 and sum(sizes) == sides.filter("not is_train").count() > 20
+    assert max(sizes) < sum(sizes) / 2
+
+
+def test_more_parts_than_cores_fill_every_turn(homes, monkeypatch):
+    monkeypatch.setattr(train, "MOST_ROWS", 150)
+    monkeypatch.setattr(train, "PART_ROWS", 100)
+    table = features.training_table(homes)
+    assert train.parts_for(table.count(), 8, 8) == 10
+    assert train.train_and_evaluate(table, SMALL, names=[train.BOOSTING]).scored.rdd.getNumPartitions() == 16
